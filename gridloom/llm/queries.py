@@ -32,7 +32,28 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(rows).drop("layout")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_transactions, op3_wu_manber_decontamination, op9_chat_format)}
+def op2_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import simhash_components
+
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_warc_transactions,
+        op2_difference_cover_dedup,
+        op3_wu_manber_decontamination,
+        op6_simhash_components,
+        op9_chat_format,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -97,3 +118,21 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(escaped + 14) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+ORACLE_SQL["op2_difference_cover_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, sha256(array_to_string(list_slice(w, i, i + 49), ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), held AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS first_id FROM win
+), gone AS (
+  SELECT doc_id, list(DISTINCT k) AS ks
+  FROM (SELECT doc_id, unnest(range(i, i + 50)) AS k FROM held WHERE first_id < doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ks), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN ks IS NULL THEN w ELSE
+         list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(ks, x[2])), lambda x: x[1]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
