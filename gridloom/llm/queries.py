@@ -23,6 +23,25 @@ def op3_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def tokenizer_path() -> str:
+    """The public byte-level vocabulary; the same path on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import chat_digest
 
@@ -35,7 +54,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import substring_dedup
 
-    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text", "source_hash")
 
 
 def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +70,8 @@ QUERIES = {
         op2_difference_cover_dedup,
         op3_wu_manber_decontamination,
         op6_simhash_components,
+        op7_weak_toxicity,
+        op8_genetic_packing,
         op9_chat_format,
     )
 }

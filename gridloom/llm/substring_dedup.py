@@ -331,17 +331,39 @@ def _words(text: bytes, gone: np.ndarray) -> list[bytes]:
 
 
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and kept_text (null where no word
-    was removed and the text stays as it is)."""
+    """doc_id, n_words, n_removed, kept_sha256, kept_text (null where no word
+    was removed and the text stays as it is) and the XXH64 of the text given."""
 
     def finish(chunk: Chunk, gone: np.ndarray) -> pa.Table:
+        from xxhash import xxh64
+
         removed, digest, kept = [], [], []
+        source = [np.uint64(xxh64(t, seed=42).intdigest()).astype(np.int64) for t in chunk.texts]
         for k, text in enumerate(chunk.texts):
             flags = gone[chunk.first[k] : chunk.first[k + 1]]
             left = b" ".join(_words(text, flags))
             removed.append(int(flags.sum()))
             digest.append(hashlib.sha256(left).hexdigest())
             kept.append(left.decode("utf-8", "surrogatepass") if removed[-1] else None)
-        return pa.table({"doc_id": pa.array(chunk.ids, pa.int64()), "n_words": pa.array(chunk.counts), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string()), "kept_text": pa.array(kept, pa.string())})
-
-    return removed_spans(docs, doc_id, text, window, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+        return pa.table({"doc_id": pa.array(chunk.ids, pa.int64()), "n_words": pa.array(chunk.counts), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string()), "kept_text": pa.array(kept, pa.string()), "source_hash": pa.array(source, pa.int64())})
+
+    return removed_spans(docs, doc_id, text, window, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, source_hash long")
+
+
+def rewrite_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", window: int = WINDOW) -> DataFrame:
+    """``docs`` without the repeated words. Texts that lose none stay as they
+    are; others become their kept words, joined by one space, and n_chars (if
+    there) follows; documents that lose all words go. Rows are matched to their
+    spans by a row number of equal (doc_id, text), so repeats stay apart."""
+    columns = docs.columns
+    found = substring_dedup(docs, doc_id, text, window).where("n_removed > 0")
+    # rows with one doc_id and one text have one result; the text itself is not compared
+    key = lambda t: F.xxhash64(F.coalesce(t, F.lit("")))
+    spans = found.select(F.col("doc_id").alias("__id"), F.col("source_hash").alias("__hash"), F.col("kept_text").alias("__kept")).dropDuplicates(["__id", "__hash"])
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("__id"), key(F.col(text)).alias("__hash"))
+    joined = rows.join(spans, rows["__id"].eqNullSafe(spans["__id"]) & (rows["__hash"] == spans["__hash"]), "left").where("__kept is null or __kept <> ''")
+    new = {c: F.col("row")[c] for c in columns}
+    new[text] = F.coalesce("__kept", new[text])
+    if n_chars in new:
+        new[n_chars] = F.when(F.col("__kept").isNotNull(), F.char_length("__kept")).otherwise(new[n_chars]).cast(docs.schema[n_chars].dataType)
+    return joined.select(*[v.alias(c) for c, v in new.items()])

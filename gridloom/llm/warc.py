@@ -251,7 +251,9 @@ def captures(spark: SparkSession, path: str, with_payload: bool = False) -> Data
     answers = rows.where("response.type = 'response'").groupBy(F.col("response.record_id").alias("answer")).agg(
         F.min("page_id").alias("answer_page"), F.max("response.payload_bytes").alias("answer_bytes"), F.max("response.payload_digest").alias("answer_digest")
     )
-    rows = rows.join(answers, rows["response.refers_to"] == answers["answer"], "left")
+    # a capture that refers to nothing looks itself up, so that nulls don't meet in one task
+    rows = rows.withColumn("sought", F.coalesce("response.refers_to", "capture"))
+    rows = rows.join(answers, rows["sought"] == answers["answer"], "left")
     revisit = F.col("response.type") == "revisit"
     return rows.select(
         "page_id",
