@@ -39,6 +39,9 @@ PREFIXES = (3, 4, 5, 6, 7)
 REPEATS = (1, 2, 4, 8)
 WORD = re.compile(r"[^\W\d_]+")
 ROUNDS = 4
+#: Log-likelihood gain over the base rate that a voter needs: with a million
+#: candidates, chance alone rarely reaches it.
+GAIN = 12.0
 
 
 def _words(text: str | None) -> set[str]:
@@ -113,7 +116,7 @@ def _mine(rows: DataFrame, voters: int) -> tuple[list[str], dict[int, int]]:
     base = total["pos"] / (total["pos"] + total["neg"])
     n, k, p = F.col("pos") + F.col("neg"), F.col("pos"), F.lit(base)
     gain = k * F.log(k / n / p) + F.col("neg") * F.when(F.col("neg") > 0, F.log(F.col("neg") / n / (1 - p))).otherwise(0.0)
-    found = sums.where("feature <> 'n:' and pos >= 4").where(k / n > F.greatest(F.lit(0.4), p)).orderBy(gain.desc(), "feature").limit(40 * voters).collect()
+    found = sums.where("feature <> 'n:'").where((k / n > F.greatest(F.lit(0.4), p)) & (gain >= GAIN)).orderBy(gain.desc(), F.col("feature").startswith("w:").desc(), F.length("feature").desc(), "feature").limit(40 * voters).collect()
     chosen: list[str] = []
     seen: set[tuple] = set()
     for r in found:  # of features with the same counts and a common stem, the first stands for all
@@ -141,9 +144,10 @@ def with_votes(docs: DataFrame, model: Model, keep: list[str], text: str = "text
 
 
 def _matrix(votes: list[list[int]], n: int) -> np.ndarray:
-    out = np.zeros((len(votes), n))
+    """Votes as a 0/1 matrix; the last column says that no voter fired."""
+    out = np.zeros((len(votes), n + 1))
     for k, v in enumerate(votes):
-        out[k, v] = 1
+        out[k, v if v else n] = 1
     return out
 
 
@@ -162,7 +166,7 @@ class LabelModel:
         return p.sum(axis=0), p.T @ x, np.stack([(x * p[:, [c]]).T @ x for c in (0, 1)])
 
     def _fit(self, totals, fired, both):
-        self.rate = (fired + [[0.05], [0.5]]) / (totals[:, None] + 1)
+        self.rate = (fired + 0.5) / (totals[:, None] + 1)
         self.rate = np.clip(self.rate, 1e-6, 1 - 1e-6)
         self.prior = float(np.clip(totals[1] / totals.sum(), 1e-3, 1 - 1e-3))
         joint = both / np.maximum(totals, 1)[:, None, None]
@@ -173,8 +177,8 @@ class LabelModel:
         self.share = 1 / corr.sum(axis=1)
 
     def posterior(self, x: np.ndarray) -> np.ndarray:
-        on, off = np.log(self.rate[1] / self.rate[0]), np.log((1 - self.rate[1]) / (1 - self.rate[0]))
-        z = np.log(self.prior / (1 - self.prior)) + x @ (self.share * (on - off)) + float((self.share * off).sum())
+        """A voter that does not fire abstains; that none fires is a vote."""
+        z = np.log(self.prior / (1 - self.prior)) + x @ (self.share * np.log(self.rate[1] / self.rate[0]))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def refine(self, patterns: DataFrame, rounds: int = ROUNDS) -> None:
@@ -190,7 +194,7 @@ class LabelModel:
             def step(batches, model=model):
                 sums = None
                 for batch in batches:
-                    x, n = _matrix(batch.column(0).to_pylist(), model.n), batch.column(1).to_numpy().astype(float)
+                    x, n = _matrix(batch.column(0).to_pylist(), model.n - 1), batch.column(1).to_numpy().astype(float)
                     p = model.posterior(x)
                     one = model._stats(x, np.column_stack((1 - p, p)), n)
                     sums = one if sums is None else [a + b for a, b in zip(sums, one, strict=True)]
@@ -202,7 +206,7 @@ class LabelModel:
             self._fit(self.anchor[0] + flat[:2], self.anchor[1] + flat[2 : 2 + 2 * k].reshape(2, k), self.anchor[2] + flat[2 + 2 * k :].reshape(2, k, k))
 
 
-def _logistic(x: np.ndarray, target: np.ndarray, rounds: int = 25, ridge: float = 1.0) -> tuple[np.ndarray, float]:
+def _logistic(x: np.ndarray, target: np.ndarray, rounds: int = 25, ridge: float = 0.1) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on soft labels by Newton's method."""
     a = np.column_stack((x, np.ones(len(x))))
     w = np.zeros(a.shape[1])
@@ -235,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     # the given label is one more voter; its accuracy is its agreement with the others
     agree = float(np.clip(np.where(y > 0.5, seen, 1 - seen).mean(), 0.6, 0.99))
     odds = np.log(np.clip(seen, 1e-9, 1 - 1e-9) / np.clip(1 - seen, 1e-9, 1)) + np.where(y > 0.5, 1, -1) * np.log(agree / (1 - agree))
-    weights, bias = _logistic(x, 1 / (1 + np.exp(-np.clip(odds, -30, 30))))
+    weights, bias = _logistic(x[:, :-1], 1 / (1 + np.exp(-np.clip(odds, -30, 30))))
     return Model(chosen, weights, bias)
 
 
