@@ -57,22 +57,51 @@ def op2_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text", "source_hash")
 
 
+def op5_url_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' captures against a list history. The tables hold neither, so
+    both follow from hashes: each host, registered domain and some first path
+    parts get dated events, each page a fetch day in 2024."""
+    from .url_filters import evaluate, host_of, path_parts
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = lambda c: F.conv(F.substring(F.md5(c.cast("string").cast("binary")), 1, 4), 16, 10).cast("int")
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n)
+    captures = pages.select(F.col("page_id").alias("capture_id"), "url", day(number(F.col("page_id")) % 366).alias("day"))
+    host, part = host_of(F.col("url")), F.get(path_parts(F.col("url")), F.lit(0))
+    keys = F.array_compact(F.array(host, F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1), F.concat(host, F.lit("/"), part)))
+    known = pages.select(F.explode(keys).alias("key")).where("key <> ''").distinct().withColumn("x", number(F.col("key"))).where("x % 3 <> 2 or key not like '%/%'")
+    lists = F.element_at(F.array(*[F.lit(n) for n in ("ads", "malware", "adult", "allow")]), F.col("x") % 4 + 1)
+    x = F.col("x")
+    one = lambda when, n, action: F.when(when, F.struct(day(n).alias("day"), F.lit(action).alias("action")))
+    dated = F.array_compact(F.array(one(F.lit(True), x % 300, "add"), one(x % 3 != 0, x % 300 + 30 + x % 60, "remove"), one(x % 5 == 0, x % 300 + 60 + x % 90, "add")))
+    events = known.select("key", lists.alias("list"), F.explode(dated).alias("e")).select("key", "list", "e.day", "e.action")
+    return evaluate(captures, events).withColumnRenamed("capture_id", "page_id").withColumn("day", F.col("day").cast("string"))
+
+
 def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import simhash_components
 
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op10_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_transactions,
         op2_difference_cover_dedup,
         op3_wu_manber_decontamination,
+        op5_url_history,
         op6_simhash_components,
         op7_weak_toxicity,
         op8_genetic_packing,
         op9_chat_format,
+        op10_graph_neighbours,
     )
 }
 
@@ -157,3 +186,41 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ks), 0) AS
          list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(ks, x[2])), lambda x: x[1]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN gone USING (doc_id)
 """
+
+ORACLE_SQL["op5_url_history"] = r"""
+WITH p AS (
+  SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)) AS host,
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '/'), lambda s: s <> '') AS parts,
+         DATE '2024-01-01' + CAST(('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 4))::INTEGER % 366 AS INTEGER) AS day
+  FROM pages
+), k AS (
+  SELECT DISTINCT key FROM (
+    SELECT host AS key FROM p UNION ALL SELECT regexp_extract(host, '([^.]+\.[^.]+)$', 1) FROM p
+    UNION ALL SELECT host || '/' || parts[1] FROM p WHERE len(parts) > 0) WHERE key <> ''
+), kx AS (
+  SELECT key, ('0x' || substr(md5(key), 1, 4))::INTEGER AS x FROM k
+), e AS (
+  SELECT key, ['ads', 'malware', 'adult', 'allow'][x % 4 + 1] AS list, unnest([
+    {'day': DATE '2024-01-01' + x % 300, 'on': true, 'live': true},
+    {'day': DATE '2024-01-01' + (x % 300 + 30 + x % 60), 'on': false, 'live': x % 3 <> 0},
+    {'day': DATE '2024-01-01' + (x % 300 + 60 + x % 90), 'on': true, 'live': x % 5 = 0}]) AS v
+  FROM kx WHERE x % 3 <> 2 OR NOT contains(key, '/')
+), ev AS (
+  SELECT key, list, v.day AS day, bool_or(v.on) AS live FROM e WHERE v.live GROUP BY ALL
+), keys AS (
+  SELECT DISTINCT page_id, day, key FROM (
+    SELECT page_id, day, host AS key FROM p
+    UNION ALL SELECT page_id, day, array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.')
+      FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM p)
+    UNION ALL SELECT page_id, day, host || '/' || parts[1] FROM p WHERE len(parts) > 0)
+), state AS (
+  SELECT page_id, keys.day, keys.key, list, arg_max(live, ev.day) AS live
+  FROM keys JOIN ev ON ev.key = keys.key AND ev.day <= keys.day GROUP BY ALL
+), hit AS (
+  SELECT page_id, count(*) AS n, string_agg(DISTINCT list, ',' ORDER BY list) AS lists, bool_or(list = 'allow') AS allowed
+  FROM state WHERE live GROUP BY page_id
+)
+SELECT p.page_id, CAST(p.day AS VARCHAR) AS day, CAST(coalesce(n, 0) AS BIGINT) AS n_active, coalesce(lists, '') AS lists,
+       coalesce(n > 0 AND NOT allowed, false) AS blocked
+FROM p LEFT JOIN hit USING (page_id)
+"""
