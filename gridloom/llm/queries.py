@@ -57,6 +57,12 @@ def op2_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text", "source_hash")
 
 
+def op4_context_mixing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_url_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages' captures against a list history. The tables hold neither, so
     both follow from hashes: each host, registered domain and some first path
@@ -96,6 +102,7 @@ QUERIES = {
         op1_warc_transactions,
         op2_difference_cover_dedup,
         op3_wu_manber_decontamination,
+        op4_context_mixing_scores,
         op5_url_history,
         op6_simhash_components,
         op7_weak_toxicity,
