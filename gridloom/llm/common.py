@@ -44,10 +44,14 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` in bytes: file sizes for a scan.
-    It costs no job and only sizes partitions; no result depends on it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def text_bytes(df: DataFrame, text: str) -> int:
+    """About how many bytes of text ``df`` has: twice the compressed size that
+    the optimizer knows of a scan, which costs no job, or else a sum. It only
+    sizes partitions and tables."""
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if known < 1 << 60:
+        return 2 * known
+    return df.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

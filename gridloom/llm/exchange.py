@@ -14,15 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plan_bytes
+from .common import text_bytes
 
-#: Text bytes in a chunk, and chunks that make one bucket more.
+#: Text bytes in a chunk.
 CHUNK_BYTES = 2 << 20
 
 
-def chunk_count(docs: DataFrame) -> int:
-    """From the scan's size: compressed text, about half its bytes."""
-    return max(8, int(2 * min(plan_bytes(docs), 1 << 60) / CHUNK_BYTES))
+def chunk_count(docs: DataFrame, text: str) -> int:
+    return min(1 << 30, max(8, text_bytes(docs, text) // CHUNK_BYTES))
 
 
 def dealt(docs: DataFrame, chunks: int, doc_id: str, text: str) -> DataFrame:

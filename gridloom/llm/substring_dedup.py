@@ -294,7 +294,7 @@ def _questions(chunk: int, blobs) -> pa.Table:
 def removed_spans(docs: DataFrame, doc_id: str, text: str, window: int, finish, schema: str) -> DataFrame:
     """Runs both stages; ``finish(chunk, removed)`` makes each chunk's table
     from the flags of its words."""
-    chunks = chunk_count(docs)
+    chunks = chunk_count(docs, text)
     buckets = max(8, chunks // 8)
     rows = dealt(docs, chunks, doc_id, text)
 
