@@ -1,0 +1 @@
+"""Extraction of messy spreadsheet tables as Spark dataflows."""
