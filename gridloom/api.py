@@ -17,6 +17,7 @@ from .plans.annotations import annotate
 from .plans.report import html_report
 from .selection import select_sheets
 from .sources import ooxml
+from .storage import stored
 
 TABLE = ["workbook", "sheet"]
 
@@ -69,8 +70,8 @@ def extract(spark: SparkSession, path: str, sheets: list[str] | None = None, set
     if sheets or selectors:
         chosen = select_sheets(catalog, names=sheets, **selectors)
     names = [r["sheet"] for r in chosen.select("sheet").distinct().collect()]  # sheet names of a selection
-    raw = ooxml.read_cells(spark, path, names, settings)
-    ranges = ooxml.read(spark, path, "range", settings).where(F.col("sheet").isin(names))
+    raw = stored(ooxml.read_cells(spark, path, names, settings), "cells")
+    ranges = stored(ooxml.read(spark, path, "range", settings).where(F.col("sheet").isin(names)), "ranges")
     cells = resolved_cells(raw, ranges, settings.include_cached_values)
     own = lambda kind: ranges.where(F.col("kind") == kind)
     merges = own("merge").select(*TABLE, *Rect.of().columns())
@@ -78,11 +79,11 @@ def extract(spark: SparkSession, path: str, sheets: list[str] | None = None, set
     named = names_df.where(Rect.of().area <= settings.max_table_area).select("workbook", F.regexp_extract(F.regexp_replace("definition", "'", ""), r"^=?([^!]+)!", 1).alias("sheet"), F.col("name").alias("candidate"), *Rect.of().columns(), F.lit("named").alias("method"), F.lit(False).alias("forced"))
     native = own("table").select(*TABLE, F.col("name").alias("candidate"), *Rect.of().columns(), F.lit("native").alias("method"), F.lit(True).alias("forced"))
     found = detect.candidates_from_components(cells, settings.horizontal_gap, settings.vertical_gap)
-    every = detect.snap_to_merges(found.unionByName(named.where(F.col("sheet").isin(names))).unionByName(native), merges, settings.max_table_area, rounds=3)
-    scored = detect.split(detect.suppress(detect.score(detect.metrics(cells, every, settings.max_table_area), every)), settings.table_score_threshold, settings.uncertain_table_threshold)
+    every = stored(detect.snap_to_merges(found.unionByName(named.where(F.col("sheet").isin(names))).unionByName(native), merges, settings.max_table_area, rounds=3), "candidates")
+    scored = stored(detect.split(detect.suppress(detect.score(detect.metrics(cells, every, settings.max_table_area), every)), settings.table_score_threshold, settings.uncertain_table_threshold), "scored")
     accepted = scored.where("decision <> 'rejected'")
     tables = accepted.withColumn("range", Rect.of().ref).withColumn("table_id", hashing.table_id(F.col("sheet"), F.col("range"), F.lit(None).cast("string"), F.lit("region"), F.col("candidate")))
-    inside = table_cells(cells, tables)
+    inside = stored(table_cells(cells, tables), "table-cells")
     warnings = ooxml.read(spark, path, "warning", settings)
     needs = raw.where("formula is not null").select("workbook", "sheet", F.explode(referenced_sheets(simple_dependencies(F.col("formula")))).alias("needed"))
     missing = needs.where(~F.col("needed").isin(names)).join(catalog.select("workbook", F.col("sheet").alias("needed")), ["workbook", "needed"], "left_semi")

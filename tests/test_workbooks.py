@@ -31,7 +31,7 @@ def book(tmp_path_factory):
         "Internal": {"cells": {(1, 1): "Do not edit"}, "state": "veryHidden"},
     }
     path = tmp_path_factory.mktemp("books") / "mini.xlsx"
-    path.write_bytes(workbook_bytes(sheets, {"Input": "'OBS KPI'!$B$4:$D$7", "Broken": "Calc!#REF!", "Moving": "OFFSET(Calc!A1,1,1)", "Const": "0.19"}))
+    path.write_bytes(workbook_bytes(sheets, {"Input": "Calc!$B$2:$C$3", "Broken": "Calc!#REF!", "Moving": "OFFSET(Calc!A1,1,1)", "Const": "0.19"}))
     return str(path)
 
 
