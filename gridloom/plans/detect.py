@@ -27,7 +27,10 @@ def active() -> Column:
 
 
 def candidates_from_components(cells: DataFrame, horizontal_gap: int = 2, vertical_gap: int = 1) -> DataFrame:
-    found = components(cells.where(active()), horizontal_gap, vertical_gap)
+    """Components of active cells. Prose without a border never bridges a gap,
+    so banners and notes beside a table stay out."""
+    prose = (F.col("kind") == "text") & (F.col("border_edges") == 0) & is_prose(F.col("v_str"))
+    found = components(cells.where(active() & ~prose), horizontal_gap, vertical_gap)
     return found.select(*KEYS, Rect.of().ref.alias("candidate"), *Rect.of().columns(), F.lit("component").alias("method"), F.lit(False).alias("forced"))
 
 
