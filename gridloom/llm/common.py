@@ -54,6 +54,28 @@ def text_bytes(df: DataFrame, text: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
 
 
+def trimmed(batches):
+    """Passes batches on; at the end of the task, memory that the reused worker
+    no longer needs goes back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def texts_of(batch, column: int = 0, rows: int = 512):
+    """The texts of a batch, decoded a few rows at a time."""
+    for k in range(0, batch.num_rows, rows):
+        yield from batch.column(column).slice(k, rows).to_pylist()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

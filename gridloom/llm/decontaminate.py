@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import texts_of, trimmed
+
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -85,7 +87,7 @@ def _scan(items: list[tuple[str, list[bytes]]], window: int, text_at: int, out_s
         found, names = searchers(items, window)
         for batch in batches:
             n_words, starts, ends, hit_items = [], [], [], []
-            for text in batch.column(text_at).to_pylist():
+            for text in texts_of(batch, text_at):
                 words, spans, hit = words_of(text), [], set()
                 for searcher in found:
                     for start, which in searcher.search(words):
@@ -109,7 +111,7 @@ def _scan(items: list[tuple[str, list[bytes]]], window: int, text_at: int, out_s
     return run
 
 
-def _fold(window_blocks: int):
+def _fold():
     """Joins the passes' spans; a single pass's spans are already apart."""
 
     def covered(starts: list[int], ends: list[int]) -> int:
@@ -157,19 +159,28 @@ def decontaminate(
     blocks = max(1, -(-size // (2 * block_words)))  # a word and its gap take two bytes at least
     part: Column = F.pmod(F.xxhash64("id"), F.lit(blocks))
     work = docs.select(F.col(text).alias("__text"), *[F.col(c) for c in keep])
+    out = docs.select(*keep).schema
+    for c, kind in zip(added, ("long", "long", "long", "string", "boolean", "array<bigint>", "array<bigint>", "array<string>"), strict=True):
+        out = out.add(c, kind if "<" not in kind else _array(kind))
     for block in range(blocks):
         rows = items.where(part == block).toLocalIterator()
         own = [(r["id"], words_of(r["text"])) for r in rows]
         schema = work.limit(0)
         for c, kind in (("__n", "bigint"), ("__a", "array<bigint>"), ("__b", "array<bigint>"), ("__i", "array<string>")):
             schema = schema.withColumn(f"{c}{block}", F.lit(None).cast(kind))
-        work = work.mapInArrow(_scan(own, window, 0, to_arrow_schema(schema.schema)), schema.schema)
+        scan = _scan(own, window, 0, to_arrow_schema(schema.schema))
+        if blocks == 1:  # the usual case: one pass
+            fold = _fold()
+            return work.mapInArrow(lambda batches: trimmed(fold(_without_text(scan(batches)))), out)
+        work = work.mapInArrow(scan, schema.schema)
     joined = lambda c: F.flatten(F.array(*[F.col(f"{c}{k}") for k in range(blocks)])).alias(c)
     work = work.select(*keep, F.col("__n0").alias("__n"), joined("__a"), joined("__b"), joined("__i"))
-    out = docs.select(*keep).schema
-    for c, kind in zip(added, ("long", "long", "long", "string", "boolean", "array<bigint>", "array<bigint>", "array<string>"), strict=True):
-        out = out.add(c, kind if "<" not in kind else _array(kind))
-    return work.mapInArrow(_fold(blocks), out)
+    return work.mapInArrow(_fold(), out)
+
+
+def _without_text(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(batch.columns[1:], schema=pa.schema(list(batch.schema)[1:]))
 
 
 def _array(kind: str):

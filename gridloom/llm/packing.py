@@ -16,21 +16,20 @@ are ignored. A shard whose packing meets the lower bound stops early.
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import texts_of, trimmed, written
 
 CAPACITY = 2048
 END_ID = 0
 SHARD_ITEMS = 8192
 ISLANDS, POPULATION, EPOCHS, GENERATIONS = 2, 4, 2, 4
 WELL_FILLED = 0.98
-CACHE_UNITS = 400_000
+CACHE_UNITS = 150_000
 #: Pretokenization pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -93,11 +92,6 @@ class Tokens:
         return b"".join(map(self._unit, seam))
 
 
-@lru_cache(maxsize=1)
-def tokens(path: str) -> Tokens:
-    return Tokens(path)
-
-
 def cut(total: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: only the first may be shorter."""
     first = total % capacity or min(total, capacity)
@@ -109,10 +103,10 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     asked for, little-endian."""
 
     def run(batches):
-        encode, end = tokens(tokenizer).encode, END_ID.to_bytes(4, "little")
+        encode, end = Tokens(tokenizer).encode, END_ID.to_bytes(4, "little")
         for batch in batches:
             rows = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, text in zip(batch.column(0).to_pylist(), texts_of(batch, 1), strict=True):
                 ids = encode(text) + end
                 for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     part = ids[4 * start : 4 * (start + length)]
@@ -122,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
-    out = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, schema).withColumn("salt", (F.rand(7) * (1 << 30)).cast("int"))
+    out = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(lambda batches: trimmed(run(batches)), schema).withColumn("salt", (F.rand(7) * (1 << 30)).cast("int"))
     return out if with_ids else out.drop("ids")
 
 

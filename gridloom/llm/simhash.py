@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import texts_of, trimmed, written
 from .components import connected_components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -59,10 +59,10 @@ def with_fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | Non
 
     def run(batches):
         for batch in batches:
-            made = np.array([fingerprint(x, shingle) for x in batch.column(0).to_pylist()], np.uint64).view(np.int64)
+            made = np.array([fingerprint(x, shingle) for x in texts_of(batch)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(made)], names=[*batch.schema.names[1:], "fp"])
 
-    return docs.select(F.col(text).cast("string").alias("__text"), *keep).mapInArrow(run, docs.select(*keep).schema.add("fp", T.LongType()))
+    return docs.select(F.col(text).cast("string").alias("__text"), *keep).mapInArrow(lambda batches: trimmed(run(batches)), docs.select(*keep).schema.add("fp", T.LongType()))
 
 
 def _planes(fps: np.ndarray) -> np.ndarray:
@@ -228,7 +228,7 @@ def _bucket_links(rows: DataFrame, radius: int) -> DataFrame:
             yield solve(held, True)[0]
 
     keyed = rows.repartition("mask", "value").sortWithinPartitions("mask", "value", "fp")
-    return keyed.select("mask", "value", "fp").mapInArrow(run, "a long, b long")
+    return keyed.select("mask", "value", "fp").mapInArrow(lambda batches: trimmed(run(batches)), "a long, b long")
 
 
 def fingerprint_links(fps: DataFrame, radius: int = RADIUS, hot: int = HOT, levels: int = 2) -> DataFrame:

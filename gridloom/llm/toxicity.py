@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_bucket, written
+from .common import crc_bucket, texts_of, trimmed, written
 
 FOLDS = 5
 SAMPLE = 20_000
@@ -103,12 +103,12 @@ def _mine(rows: DataFrame, voters: int) -> tuple[list[str], dict[int, int]]:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for f in features(text) | {"n:"}:
                     totals[f, y] = totals.get((f, y), 0) + 1
-            if len(totals) > 500_000:
+            if len(totals) > 200_000:
                 yield _counts(totals)
                 totals = {}
         yield _counts(totals)
 
-    sums = rows.mapInArrow(count, "feature string, y int, n long").groupBy("feature").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum(F.when(F.col("y") == 1, 0).otherwise(F.col("n"))).alias("neg"))
+    sums = rows.mapInArrow(lambda batches: trimmed(count(batches)), "feature string, y int, n long").groupBy("feature").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum(F.when(F.col("y") == 1, 0).otherwise(F.col("n"))).alias("neg"))
     sums = written(sums, "features")
     total = sums.where("feature = 'n:'").first()
     if total is None or not total["pos"] or not total["neg"]:
@@ -136,11 +136,11 @@ def with_votes(docs: DataFrame, model: Model, keep: list[str], text: str = "text
 
     def run(batches):
         for batch in batches:
-            votes = [model.votes(x) for x in batch.column(0).to_pylist()]
+            votes = [model.votes(x) for x in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(votes, pa.list_(pa.int32())), pa.array([model.score(v) for v in votes], pa.float64())], names=[*batch.schema.names[1:], "votes", "score"])
 
     schema = docs.select(*keep).schema.add("votes", T.ArrayType(T.IntegerType())).add("score", T.DoubleType())
-    return docs.select(F.col(text).cast("string").alias("__text"), *keep).mapInArrow(run, schema)
+    return docs.select(F.col(text).cast("string").alias("__text"), *keep).mapInArrow(lambda batches: trimmed(run(batches)), schema)
 
 
 def _matrix(votes: list[list[int]], n: int) -> np.ndarray:
