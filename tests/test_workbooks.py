@@ -21,12 +21,12 @@ def matrix(top, left, head, body):
 @pytest.fixture(scope="module")
 def book(tmp_path_factory):
     head = ["KPI", "Actual 2025", "PLAN 2026", "B2027 vs PLAN 2026"]
-    body = [["Selfcare rate (%)", 0.628, 0.72, ("=C4-B4", 0.1)], ["FRANCE", None, None, None], ["Cost (M€)", -10.5, 0, ("=Calc!B2", None)], ["TOTAL OPEX", ("=B6", 5), 7, ("=#REF!:#REF!", None)]]
+    body = [["Service rate (%)", 0.628, 0.72, ("=C4-B4", 0.1)], ["FRANCE", None, None, None], ["Cost (M€)", -10.5, 0, ("=Calc!B2", None)], ["TOTAL OPEX", ("=B6", 5), 7, ("=#REF!:#REF!", None)]]
     cells, styles = matrix(3, 1, head, body)
     cells |= {(1, 1): "Copy table below to PowerPoint", (12, 1): "Source: ledger of the year", (5, 8): True}
     after = '<dataValidations><dataValidation type="decimal" sqref="B4:C6 D4"/></dataValidations><conditionalFormatting sqref="B4:D4"><cfRule type="cellIs" priority="1"><formula>0</formula></cfRule></conditionalFormatting>'
     sheets = {
-        "OBS KPI": {"cells": cells, "styles": styles, "merges": ["A5:D5"], "before": '<cols><col min="4" max="4" hidden="1" width="9"/></cols>', "after": after},
+        "Overview": {"cells": cells, "styles": styles, "merges": ["A5:D5"], "before": '<cols><col min="4" max="4" hidden="1" width="9"/></cols>', "after": after},
         "Calc": {"cells": {(1, 1): "x", (2, 2): 145, (3, 3): 45000}, "styles": {(3, 3): 3}, "state": "hidden"},
         "Internal": {"cells": {(1, 1): "Do not edit"}, "state": "veryHidden"},
     }
@@ -37,7 +37,7 @@ def book(tmp_path_factory):
 
 def test_catalog_names_and_ranges(spark, book):
     got = [(r.position, r.sheet, r.state) for r in ooxml.read_sheets(spark, book).orderBy("position").collect()]
-    assert got == [(1, "OBS KPI", "visible"), (2, "Calc", "hidden"), (3, "Internal", "veryHidden")]
+    assert got == [(1, "Overview", "visible"), (2, "Calc", "hidden"), (3, "Internal", "veryHidden")]
     assert {r.name: r.status for r in ooxml.read_names(spark, book).collect()} == {"Input": "static", "Broken": "broken", "Moving": "dynamic_unresolved", "Const": "raw"}
     ranges = ooxml.read(spark, book, "range").collect()
     assert sorted((r.kind, r.ref) for r in ranges) == [("conditional_format", "B4:D4"), ("merge", "A5:D5"), ("validation", "B4:C6"), ("validation", "D4")]
@@ -46,14 +46,14 @@ def test_catalog_names_and_ranges(spark, book):
 
 def test_cells_keep_literal_formula_and_cache_apart(spark, book):
     cells = {(r.sheet, r.coord): r for r in ooxml.read_cells(spark, book).collect()}
-    d4, d6, d7 = (cells["OBS KPI", x] for x in ("D4", "D6", "D7"))
+    d4, d6, d7 = (cells["Overview", x] for x in ("D4", "D6", "D7"))
     assert (d4.formula, d4.cache_status, d4.cache_num, d4.v_num, d4.kind) == ("=C4-B4", "present", 0.1, None, "formula")
     assert (d6.formula, d6.cache_status, d6.cache_num) == ("=Calc!B2", "missing", None)
-    assert d7.formula == "=#REF!:#REF!" and cells["OBS KPI", "H5"].v_bool is True
+    assert d7.formula == "=#REF!:#REF!" and cells["Overview", "H5"].v_bool is True
     assert cells["Calc", "C3"].kind == "datetime" and str(cells["Calc", "C3"].v_ts)[:10] == "2023-03-15"
-    head, body = cells["OBS KPI", "A3"], cells["OBS KPI", "A4"]
+    head, body = cells["Overview", "A3"], cells["Overview", "A4"]
     assert head.bold and head.has_fill and head.border_edges == 4 and not body.bold
-    assert body.style_hash == cells["OBS KPI", "B4"].style_hash != head.style_hash
+    assert body.style_hash == cells["Overview", "B4"].style_hash != head.style_hash
     codes = {r.code for r in ooxml.read(spark, book, "warning").collect()}
     assert "FORMULA_CACHE_MISSING" in codes
     signatures = {(r.row, r.col): r.signature for r in formula_signatures(ooxml.read_cells(spark, book)).collect()}
@@ -67,15 +67,15 @@ def test_shared_formulas_move():
 def test_extraction(spark, book, tmp_path):
     run = extract(spark, book, visible=True)
     accepted = {(r.sheet, r.range): r for r in run.tables.collect()}
-    assert ("OBS KPI", "A3:D7") in accepted
+    assert ("Overview", "A3:D7") in accepted
     long = [r for r in run.long.collect() if r.coord.endswith(("4", "6", "7"))]
     by = {r.coord: r for r in long}
-    assert by["B4"].scenario == "actual" and by["B4"].year == 2025 and by["B4"].row_label == "Selfcare rate (%)"
+    assert by["B4"].scenario == "actual" and by["B4"].year == 2025 and by["B4"].row_label == "Service rate (%)"
     assert by["B6"].section == "FRANCE" and by["C6"].value_state == "zero" and by["B7"].row_role == "total"
     assert {(r.row, r.reason) for r in run.dropped_rows.collect()} >= {(3, "header"), (5, "section")}
     assert any(r.kind == "source_note" and r.table_id for r in run.annotations.collect())
     assert "DEPENDENCY_SHEET_NOT_SELECTED" in {r.code for r in run.warnings.collect()}
-    assert {r.sheet for r in run.digests.collect()} == {"OBS KPI"}
+    assert {r.sheet for r in run.digests.collect()} == {"Overview"}
     target = write_bundle(spark, run, str(tmp_path / "out"))
     manifest = json.loads((tmp_path / "out/manifest.json").read_text())
     assert manifest["tables"] and manifest["settings_fingerprint"] == Settings().fingerprint
@@ -121,7 +121,7 @@ def test_command_line(spark, book, tmp_path, capsys):
 
     assert main([book, "--list-sheets"], spark) == 0
     assert "veryHidden" in capsys.readouterr().out
-    assert main([book, "--sheet", "OBS KPI", "--output", str(tmp_path / "o")], spark) == 0
+    assert main([book, "--sheet", "Overview", "--output", str(tmp_path / "o")], spark) == 0
     assert (tmp_path / "o/manifest.json").exists()
     assert main([book], spark) == 2
     assert main([book, "--all-sheets", "--table-threshold", "0.2"], spark) == 2
