@@ -15,7 +15,9 @@ are ignored. A shard whose packing meets the lower bound stops early.
 
 from __future__ import annotations
 
+import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ END_ID = 0
 SHARD_ITEMS = 8192
 ISLANDS, POPULATION, EPOCHS, GENERATIONS = 2, 4, 2, 4
 WELL_FILLED = 0.98
-CACHE_UNITS = 150_000
+CACHE_UNITS, CACHE_PRETOKENS = 300_000, 100_000
 #: Pretokenization pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -42,10 +44,28 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+#: White space at a seam between units, or at the text's ends.
+ODD_SEAM = re.compile(r"\A\s|\s\Z| \s|\s ")
+
+
+class Memo(dict):
+    """Remembers ``make(key)`` for up to ``size`` keys."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size = make, size
+
+    def __missing__(self, key):
+        if len(self) >= self.size:
+            self.clear()
+        self[key] = made = self.make(key)
+        return made
+
+
 class Tokens:
     """Ids of texts as little-endian 32-bit blobs.
 
-    Single spaces between non-spaces always begin a pretoken, so the pieces
+    Single spaces between non-spaces always begin a pretoken, so the units
     between them are tokenized alone and remembered; texts with other runs of
     white space at those seams go to the tokenizer whole.
     """
@@ -58,38 +78,29 @@ class Tokens:
         self.whole.encode_special_tokens = True
         self.model, self.letters = self.whole.model, _byte_letters()
         self.split = regex.compile(PATTERN).findall
-        self.pretokens: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.pretokens = Memo(self._pretoken, CACHE_PRETOKENS)
+        self.spaced = Memo(lambda unit: self._unit(" " + unit), CACHE_UNITS)  # units after a space
 
     def _pretoken(self, text: str) -> bytes:
-        ids = self.pretokens.get(text)
-        if ids is None:
-            spelled = text.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-            if len(self.pretokens) >= CACHE_UNITS:
-                self.pretokens.clear()
-            self.pretokens[text] = ids
-        return ids
+        spelled = text.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
 
     def _unit(self, unit: str) -> bytes:
-        ids = self.units.get(unit)
-        if ids is None:
-            ids = b"".join(map(self._pretoken, self.split(unit)))
-            if len(unit) < 40:
-                if len(self.units) >= CACHE_UNITS:
-                    self.units.clear()
-                self.units[unit] = ids
-        return ids
+        return b"".join(map(self.pretokens.__getitem__, self.split(unit)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        parts = text.split(" ")
-        if any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
+        if ODD_SEAM.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        seam = [" " + p for p in parts]
-        seam[0] = parts[0]
-        return b"".join(map(self._unit, seam))
+        first, *rest = text.split(" ")
+        return self._unit(first) + b"".join(map(self.spaced.__getitem__, rest))
+
+
+@lru_cache(maxsize=1)
+def tokens(path: str) -> Tokens:
+    """One per worker: a reused worker keeps what it has learned."""
+    return Tokens(path)
 
 
 def cut(total: int, capacity: int) -> list[tuple[int, int]]:
@@ -103,7 +114,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     asked for, little-endian."""
 
     def run(batches):
-        encode, end = Tokens(tokenizer).encode, END_ID.to_bytes(4, "little")
+        encode, end = tokens(tokenizer).encode, END_ID.to_bytes(4, "little")
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), texts_of(batch, 1), strict=True):
