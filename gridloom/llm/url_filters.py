@@ -42,9 +42,15 @@ def url_keys(url: Column, labels: int, depth: int) -> Column:
     return F.when(host != "", F.array_distinct(F.concat(domains, F.coalesce(paths, F.array().cast("array<string>")))))
 
 
+def entry_key(key: Column) -> Column:
+    """The key with its host in lower case; the case of a path matters."""
+    host = F.substring_index(key, "/", 1)
+    return F.concat(F.lower(host), F.substring(key, F.char_length(host) + 1, F.char_length(key)))
+
+
 def validity_intervals(events: DataFrame) -> DataFrame:
     """key, list, valid_from, valid_to (null: still valid) from dated events."""
-    daily = events.select(F.lower("key").alias("key"), "list", F.col("day").cast("date").alias("day"), (F.col("action") == "add").alias("on")).where("key is not null and list is not null and day is not null and on is not null")
+    daily = events.select(entry_key(F.col("key")).alias("key"), "list", F.col("day").cast("date").alias("day"), (F.col("action") == "add").alias("on")).where("key is not null and list is not null and day is not null and on is not null")
     daily = daily.groupBy("key", "list", "day").agg(F.max("on").alias("on"))
     w = Window.partitionBy("key", "list").orderBy("day")
     changes = daily.withColumn("before", F.coalesce(F.lag("on").over(w), F.lit(False))).where("on <> before")

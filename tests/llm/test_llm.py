@@ -212,6 +212,19 @@ def test_url_history(spark):
     assert not any(r["blocked"] for r in evaluate(ca, ev.limit(0)).collect())
 
 
+def test_url_paths_keep_their_case(spark):
+    from datetime import date
+
+    from gridloom.llm.url_filters import evaluate
+
+    first = date(2024, 1, 1)
+    events = [("Example.COM/Ads", "ads", first, "add"), ("example.com/ads", "adult", first, "add"), ("O.org/B/c", "malware", first, "add")]
+    captures = [(1, "http://EXAMPLE.com/Ads/x"), (2, "http://example.com/ads"), (3, "http://example.com/ADS"), (4, "http://o.org/B/c/d"), (5, "http://o.org/b/c")]
+    ev = spark.createDataFrame(events, "key string, list string, day date, action string")
+    ca = spark.createDataFrame([(*c, date(2024, 2, 1)) for c in captures], "capture_id long, url string, day date")
+    assert {r["capture_id"]: r["lists"] for r in evaluate(ca, ev).collect()} == {1: "ads", 2: "adult", 3: "", 4: "malware", 5: ""}
+
+
 # --- 6: SimHash
 
 
