@@ -67,7 +67,8 @@ class Tokens:
 
     Single spaces between non-spaces always begin a pretoken, so the units
     between them are tokenized alone and remembered; texts with other runs of
-    white space at those seams go to the tokenizer whole.
+    white space at those seams, and texts that contain an added token (which
+    the bare model does not know), go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -75,7 +76,7 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.model, self.letters = self.whole.model, _byte_letters()
         self.split = regex.compile(PATTERN).findall
         self.pretokens = Memo(self._pretoken, CACHE_PRETOKENS)
@@ -91,7 +92,7 @@ class Tokens:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if ODD_SEAM.search(text):
+        if ODD_SEAM.search(text) or any(t in text for t in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         first, *rest = text.split(" ")
         return self._unit(first) + b"".join(map(self.spaced.__getitem__, rest))

@@ -385,6 +385,18 @@ def test_packing(spark, sf, corpus):
     assert pack_documents(docs.limit(0), tokenizer_path()).count() == 0
 
 
+def test_packing_knows_added_tokens():
+    from tokenizers import Tokenizer
+
+    from gridloom.llm.packing import Tokens
+    from gridloom.llm.queries import tokenizer_path
+
+    plain, made = Tokenizer.from_file(tokenizer_path()), Tokens(tokenizer_path())
+    for t in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "don't <|endoftext| > stop", "a  <|endoftext|>\n"):
+        assert np.frombuffer(made.encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+    assert np.frombuffer(made.encode("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+
+
 def test_crossover_keeps_every_piece_once():
     from gridloom.llm.packing import best_fit, crossover, evolve, fitness
 
