@@ -194,6 +194,20 @@ def test_lm_is_a_distribution():
     assert abs(sum(10 ** (mixer.log10_probability(docs) - one)) - 1) < 1e-3
 
 
+def test_lm_long_words_cost_all_their_bytes():
+    from gridloom.llm.lm_scoring import WORD_WEIGHT, word_log10
+
+    assert abs(word_log10(np.array([900.0]), [b""], np.zeros(1), 100, 10) - (np.log10(1 - WORD_WEIGHT) - 900 / np.log(10))) < 1e-6
+    nats = np.full(100_001, 2.0)
+    assert abs(word_log10(nats, [b"x" * 100_000], np.zeros(1), 100, 10) + 200_002 / np.log(10)) < 1
+    # short words: as in plain probabilities
+    got = word_log10(np.array([0.5, 1.0, 0.25, 0.75]), [b"a", b"b"], np.array([3.0, 0.0]), 100, 10)
+    coded, exact = np.exp([-1.5, -1.0]), np.array([3 / 90 * 0.9, 0.0])
+    post = WORD_WEIGHT * exact[0] / (WORD_WEIGHT * exact[0] + (1 - WORD_WEIGHT) * coded[0])
+    weight = np.array([WORD_WEIGHT, (WORD_WEIGHT * 20 + post) / 21])
+    assert abs(got - np.log10(weight * exact + (1 - weight) * coded).sum()) < 1e-9
+
+
 # --- 5: URL filters
 
 
