@@ -208,6 +208,48 @@ def test_lm_long_words_cost_all_their_bytes():
     assert abs(got - np.log10(weight * exact + (1 - weight) * coded).sum()) < 1e-9
 
 
+def test_lm_counts_what_the_mixer_leaves(spark, monkeypatch):
+    """Documents over the mixer's byte budget are counted, those in it are not."""
+    from gridloom.llm import lm_scoring as L
+
+    rng = random.Random(9)
+    docs = spark.createDataFrame([(k, text(rng, 50)) for k in range(400)], "doc_id long, text string").repartition(4)
+    seen = []
+    monkeypatch.setattr(L, "_merged_tables", lambda rows, code, bits: seen.append(rows.count()) or np.zeros((L.PREDICTORS, 1 << bits), np.int8))
+    fits = []
+    monkeypatch.setattr(L.Mixer, "fit", lambda self, texts: fits.append(len(texts)))
+    for size in (0, 500, 1 << 20):
+        L.train(docs, mix_bytes=size)
+    total = docs.where(L.crc_bucket("doc_id", 7) != 2).count()
+    assert [n + m for n, m in zip(seen, fits, strict=True)] == [total] * 3
+    assert fits[0] == 0 < fits[1] < fits[2]
+
+
+def test_lm_adapts_every_block():
+    """One-byte contexts have a predictor, and long documents keep adapting at
+    every BLOCK bits."""
+    from gridloom.llm import lm_scoring as L
+
+    data = np.concatenate((np.zeros(L.PAD, np.uint8), np.frombuffer(b"xaya", np.uint8)))
+    assert len(L.contexts(data)) == L.PREDICTORS == 5 and L.contexts(data)[0][L.PAD + 3] == ord("y")
+    rng = np.random.default_rng(4)
+    doc = rng.integers(97, 105, 6000).astype(np.uint8)
+    code = L.Code(np.bincount(doc, minlength=256))
+    mixer = L.Mixer(rng.integers(-60, 60, (L.PREDICTORS, 1 << 16)).astype(np.int8), 16, code)
+    steps = L.Steps([(0, np.concatenate((np.zeros(L.PAD, np.uint8), doc)))], code)
+    x, gate = mixer.inputs(steps)
+    weights, want = mixer.weights.astype(float).copy(), 0.0
+    for lo in range(0, len(gate), L.BLOCK):
+        a, g, bit = x[lo : lo + L.BLOCK], gate[lo : lo + L.BLOCK], steps.bit[lo : lo + L.BLOCK].astype(float)
+        z = (a * weights[g]).sum(axis=1)
+        want += np.logaddexp(0, np.where(bit > 0, -z, z)).sum()
+        for one in np.unique(g):
+            own = g == one
+            weights[one] += L.RATE * ((bit - 1 / (1 + np.exp(-z)))[own, None] * a[own]).sum(axis=0) / np.sqrt(own.sum() + 1)
+    assert len(gate) > 32 * L.BLOCK
+    assert abs(mixer.byte_nats([doc])[0].sum() / want - 1) < 1e-4
+
+
 # --- 5: URL filters
 
 
