@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import table
 from gridloom.llm.decontaminate import decontaminate
+from gridloom.llm.near_copies import drop_similar
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.queries import tokenizer_path
-from gridloom.llm.simhash import drop_near_duplicates
 from gridloom.llm.substring_dedup import rewrite_documents
 from gridloom.llm.toxicity import drop_toxic
 
@@ -21,8 +21,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest id stays."""
-    return drop_near_duplicates(docs)
+    """Of each component of documents with similar five-word shingles (0.8 or
+    more) the document with the smallest id stays."""
+    return drop_similar(docs)
 
 
 def substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -258,7 +258,15 @@ def label_fingerprints(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, root, component_id, rep_fp): the class of each distinct fingerprint
     of ``marked`` (doc_id, fp), and the fingerprint of the row that names it."""
     fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fps")
-    stars = connected_components(fingerprint_links(fps.select("fp"), radius))
+    return _named(fps, connected_components(fingerprint_links(fps.select("fp"), radius)))
+
+
+def label_nodes(marked: DataFrame, links: DataFrame) -> DataFrame:
+    """The same, of nodes ``fp`` with links of their own."""
+    return _named(written(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fps"), connected_components(links))
+
+
+def _named(fps: DataFrame, stars: DataFrame) -> DataFrame:
     rooted = fps.join(stars, fps["fp"] == stars["a"], "left").select("fp", "rep", F.coalesce("b", "fp").alias("root"))
     named = F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("rep"), F.col("fp").alias("fp")))
     roots = rooted.groupBy("root").agg(named.alias("least")).select("root", F.col("least.rep").alias("component_id"), F.col("least.fp").alias("rep_fp"))
@@ -274,12 +282,18 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """One row of each component stays: that with the smallest doc_id."""
+    hashed = with_fingerprints(docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id")), keep=["row", "doc_id"], shingle=shingle)
+    marked = written(hashed.select("doc_id", "fp"), "marked")
+    return keep_first(docs, hashed, label_fingerprints(marked, radius), text)
+
+
+def keep_first(docs: DataFrame, hashed: DataFrame, labels: DataFrame, text: str) -> DataFrame:
+    """The rows of ``docs`` that name their component; ``hashed`` has them as
+    row, doc_id and fp."""
     from pyspark.sql import Window
 
     columns = docs.columns
-    hashed = with_fingerprints(docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id")), keep=["row", "doc_id"], shingle=shingle)
-    marked = written(hashed.select("doc_id", "fp"), "marked")
-    keepers = label_fingerprints(marked, radius).select(F.col("component_id").alias("k"), F.col("rep_fp").alias("f")).distinct()
+    keepers = labels.select(F.col("component_id").alias("k"), F.col("rep_fp").alias("f")).distinct()
     kept = hashed.join(keepers, hashed["doc_id"].eqNullSafe(keepers["k"]) & (hashed["fp"] == keepers["f"]), "left_semi")
     turn = F.row_number().over(Window.partitionBy("doc_id", "fp").orderBy(F.col(f"row.{text}")))
     return kept.withColumn("turn", turn).where("turn = 1").select(*[F.col("row")[c].alias(c) for c in columns])

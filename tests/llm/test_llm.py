@@ -373,6 +373,51 @@ def test_near_duplicate_stage(corpus):
     assert kept.count() == kept.distinct().count() <= len(parts) + 1  # id 7 is given to two texts
 
 
+def brute_similar(rows):
+    """Doc ids that name the components of five-word Jaccard 0.8 or more."""
+    sets = [(i, frozenset(" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := (t or "").encode().lower().decode().split()) else frozenset()) for i, t in rows]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, (_, a) in enumerate(sets):
+        for y in range(x):
+            b = sets[y][1]
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                root[find(x)] = find(y)
+    groups = defaultdict(list)
+    for x, (i, _) in enumerate(sets):
+        groups[find(x)].append(i)
+    return {min((i for i in g if i is not None), default=None) for g in groups.values()}
+
+
+def test_pipeline_drops_copies_from_0_8_on(spark, sf):
+    from corpus_pipeline import near_duplicates
+
+    rng = random.Random(11)
+    word = lambda: f"q{rng.randrange(5000)}"
+    rows = []
+    for k in range(60):
+        base = [word() for _ in range(200)]
+        rows.append((k, " ".join(base)))
+        for j, edits in enumerate((1, 2, 3, 4, 5, 8)):  # each edit changes five shingles
+            copy = list(base)
+            for at in rng.sample(range(5, 195), edits):
+                copy[at] = word()
+            rows.append((100 * (j + 1) + k, " ".join(copy)))
+    rows += [(900, None), (901, ""), (902, "one two"), (903, "ONE  two"), (None, "lonely null id here now"), (7, rows[0][1])]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string")
+    kept = near_duplicates(spark, docs, sf)
+    assert kept.columns == docs.columns
+    want = brute_similar(rows)
+    assert {r["doc_id"] for r in kept.collect()} == want and len(want) < 250
+    tables = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    assert {r["doc_id"] for r in near_duplicates(spark, tables, sf).collect()} == brute_similar([tuple(r) for r in tables.collect()])
+
+
 # --- 7: toxicity
 
 
