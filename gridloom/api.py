@@ -79,7 +79,7 @@ def extract(spark: SparkSession, path: str, sheets: list[str] | None = None, set
     named = names_df.where(Rect.of().area <= settings.max_table_area).select("workbook", F.regexp_extract(F.regexp_replace("definition", "'", ""), r"^=?([^!]+)!", 1).alias("sheet"), F.col("name").alias("candidate"), *Rect.of().columns(), F.lit("named").alias("method"), F.lit(False).alias("forced"))
     native = own("table").select(*TABLE, F.col("name").alias("candidate"), *Rect.of().columns(), F.lit("native").alias("method"), F.lit(True).alias("forced"))
     found = detect.candidates_from_components(cells, settings.horizontal_gap, settings.vertical_gap)
-    every = stored(detect.snap_to_merges(found.unionByName(named.where(F.col("sheet").isin(names))).unionByName(native), merges, settings.max_table_area, rounds=3), "candidates")
+    every = stored(detect.snap_to_merges(found.unionByName(named.where(F.col("sheet").isin(names))).unionByName(native), merges, settings.max_table_area), "candidates")
     scored = stored(detect.split(detect.suppress(detect.score(detect.metrics(cells, every, settings.max_table_area), every)), settings.table_score_threshold, settings.uncertain_table_threshold), "scored")
     accepted = scored.where("decision <> 'rejected'")
     tables = accepted.withColumn("range", Rect.of().ref).withColumn("table_id", hashing.table_id(F.col("sheet"), F.col("range"), F.lit(None).cast("string"), F.lit("region"), F.col("candidate")))

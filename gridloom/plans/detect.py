@@ -139,19 +139,60 @@ def _absorbs(kept: dict, row: dict) -> bool:
     return False
 
 
-def snap_to_merges(candidates: DataFrame, merges: DataFrame, max_area: int = 1_000_000, rounds: int = 8) -> DataFrame:
-    """Grows each candidate over the merges it cuts, until nothing changes."""
-    now = candidates
-    for _ in range(rounds):
-        a, b = now.alias("a"), merges.alias("b")
-        ra, rb = Rect.of(alias="a"), Rect.of(alias="b")
-        cut = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in KEYS]
-        hit = a.join(b, cut[0] & cut[1] & ra.intersects(rb) & ~ra.contains_rect(rb)).groupBy(*[F.col(f"a.{k}") for k in ID]).agg(F.min(rb.r1).alias("r1"), F.min(rb.c1).alias("c1"), F.max(rb.r2).alias("r2"), F.max(rb.c2).alias("c2"))
-        grown = now.join(hit, ID, "left")
-        wide = Rect.of().union(Rect(*(F.coalesce(n, m) for n, m in zip((F.col("r1"), F.col("c1"), F.col("r2"), F.col("c2")), (F.col("min_row"), F.col("min_col"), F.col("max_row"), F.col("max_col")), strict=True))))
-        ok = wide.area <= max_area
-        now = grown.select(*[c for c in now.columns if c not in ("min_row", "min_col", "max_row", "max_col")], *[F.when(ok, w).otherwise(F.col(n)).alias(n) for w, n in zip((wide.r1, wide.c1, wide.r2, wide.c2), ("min_row", "min_col", "max_row", "max_col"), strict=True)])
-    return now
+def snap_to_merges(candidates: DataFrame, merges: DataFrame, max_area: int = 1_000_000) -> DataFrame:
+    """Grows each candidate over the merges it cuts, until nothing changes.
+    Merges are taken by position, and one that would exceed the area is left
+    out alone. Candidates and merges of one sheet are grouped."""
+    sides = ["min_row", "min_col", "max_row", "max_col"]
+    own = [f"merge_{n}" for n in (*KEYS, *sides)]
+
+    def run(found, merged):
+        import numpy as np
+        import pyarrow as pa
+
+        table = lambda t, names: np.stack([t.column(n).to_numpy() for n in names], axis=1).astype(np.int64)
+        m = table(merged, own[2:])
+        m = m[np.lexsort(m.T[::-1])]
+        grown = np.array([_snapped(box, m, max_area) for box in table(found, sides)], np.int64).reshape(-1, 4)
+        for k, n in enumerate(sides):
+            at = found.schema.get_field_index(n)
+            found = found.set_column(at, n, pa.array(grown[:, k], found.schema.field(at).type))
+        return found
+
+    # names of their own: both sides may come from one table
+    merges = merges.select(*[F.col(n).alias(m) for n, m in zip([*KEYS, *sides], own, strict=True)])
+    return candidates.groupBy(*KEYS).cogroup(merges.groupBy(*own[:2])).applyInArrow(run, candidates.schema)
+
+
+def _snapped(box, merges, max_area: int):
+    """The box (four sides) after its sheet's merges (rows of four sides)."""
+    import numpy as np
+
+    def cut(b, m):
+        meets = (m[:, 0] <= b[2]) & (m[:, 2] >= b[0]) & (m[:, 1] <= b[3]) & (m[:, 3] >= b[1])
+        return meets & ~((m[:, 0] >= b[0]) & (m[:, 2] <= b[2]) & (m[:, 1] >= b[1]) & (m[:, 3] <= b[3]))
+
+    def union(b, m):
+        return np.concatenate((np.minimum(b[:2], m[..., :2].reshape(-1, 2).min(axis=0)), np.maximum(b[2:], m[..., 2:].reshape(-1, 2).max(axis=0))))
+
+    area = lambda b: (b[..., 2] - b[..., 0] + 1) * (b[..., 3] - b[..., 1] + 1)
+    # all cut merges at once: where the end fits, the order does not matter
+    whole = box
+    while (hit := cut(whole, merges)).any():
+        whole = union(whole, merges[hit])
+    if (whole == box).all() or area(whole) <= max_area:
+        return whole
+    changed = True
+    while changed:
+        changed, at = False, 0
+        while at < len(merges):
+            rest = merges[at:]
+            joined = np.concatenate((np.minimum(box[:2], rest[:, :2]), np.maximum(box[2:], rest[:, 2:])), axis=1)
+            fits = np.flatnonzero(cut(box, rest) & (area(joined) <= max_area))
+            if not len(fits):
+                break
+            box, changed, at = joined[fits[0]], True, at + int(fits[0]) + 1
+    return box
 
 
 def detect_tables(cells: DataFrame, extra: DataFrame | None = None, accept: float = ACCEPT, uncertain: float = UNCERTAIN) -> DataFrame:

@@ -498,7 +498,7 @@ g(n, sheet, id, r1, c1, r2, c2) AS (SELECT 0, sheet, id, min_row, min_col, max_r
 SELECT id AS candidate, r1 AS min_row, c1 AS min_col, r2 AS max_row, c2 AS max_col FROM g WHERE n = 3""")
 def snap_bounds(spark, sf):
     r = part_rects(spark, sf)
-    out = detect.snap_to_merges(r.where("id % 40 = 0").withColumnRenamed("id", "candidate"), r.where("id % 40 <> 0"), rounds=3)
+    out = detect.snap_to_merges(r.where("id % 40 = 0").withColumnRenamed("id", "candidate"), r.where("id % 40 <> 0"))
     return out.select("candidate", "min_row", "min_col", "max_row", "max_col")
 
 

@@ -27,3 +27,35 @@ def test_components_with_gaps(spark):
     boxes = lambda h, v: sorted((r.min_row, r.min_col, r.max_row, r.max_col, r.cells) for r in components(cells, h, v).collect())
     assert boxes(0, 0) == [(1, 1, 1, 1, 1), (1, 4, 1, 4, 1), (2, 9, 3, 9, 2), (5, 9, 5, 9, 1), (9, 9, 9, 9, 1)]
     assert boxes(2, 1) == [(1, 1, 1, 4, 2), (2, 9, 5, 9, 3), (9, 9, 9, 9, 1)]
+
+
+def test_candidates_grow_over_whole_chains_of_merges(spark):
+    """Like the plain loop over merges, with and without the area limit."""
+    import random
+
+    from gridloom.plans.detect import snap_to_merges
+
+    def plain(b, merges, limit):
+        changed = True
+        while changed:
+            changed = False
+            for m in sorted(merges):
+                meets = m[0] <= b[2] and m[2] >= b[0] and m[1] <= b[3] and m[3] >= b[1]
+                wide = (min(b[0], m[0]), min(b[1], m[1]), max(b[2], m[2]), max(b[3], m[3]))
+                if meets and wide != b and (wide[2] - wide[0] + 1) * (wide[3] - wide[1] + 1) <= limit:
+                    b, changed = wide, True
+        return b
+
+    rng = random.Random(1)
+    chain = [(1 + k, 3 * k, 2 + k, 3 * k + 3) for k in range(1, 12)]  # each is met by the growth over the last
+    boxes = {"chain": [(2, 1, 2, 3)], "free": [(50, 50, 60, 60)], "mixed": [(r, c, r + 3, c + 3) for r, c in ((rng.randrange(1, 40), rng.randrange(1, 40)) for _ in range(12))]}
+    merges = {"chain": chain, "mixed": [(r, c, r + rng.randrange(1, 6), c + rng.randrange(1, 6)) for r, c in ((rng.randrange(1, 40), rng.randrange(1, 40)) for _ in range(60))], "alone": [(1, 1, 2, 2)]}
+    sides = "min_row int, min_col int, max_row int, max_col int"
+    cand = spark.createDataFrame([("wb", s, f"{s}{k}", *b, None) for s, v in boxes.items() for k, b in enumerate(v)], f"workbook string, sheet string, candidate string, {sides}, forced boolean")
+    given = spark.createDataFrame([("wb", s, *m) for s, v in merges.items() for m in v], f"workbook string, sheet string, {sides}")
+    for limit in (1_000_000, 300, 60, 5):
+        got = snap_to_merges(cand, given, limit)
+        assert got.schema == cand.schema
+        want = {f"{s}{k}": plain(b, merges.get(s, []), limit) for s, v in boxes.items() for k, b in enumerate(v)}
+        assert {r["candidate"]: (r["min_row"], r["min_col"], r["max_row"], r["max_col"]) for r in got.collect()} == want
+    assert plain((2, 1, 2, 3), chain, 1_000_000)[2:] == (13, 36)
