@@ -455,7 +455,6 @@ def test_packing(spark, sf, corpus):
     from gridloom.llm.queries import tokenizer_path
 
     tk = Tokenizer.from_file(tokenizer_path())
-    tk.encode_special_tokens = True
     odd = spark.createDataFrame([(900, "a  b"), (901, "x\n\n y  z"), (902, "don't we'll <|endoftext|> ok"), (903, "日本 語\tです"), (904, " lead and trail ")], "doc_id long, text string")
     docs = corpus.select("doc_id", "text").union(odd).union(spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id + 10000", "text"))
     for capacity in (2048, 64):
@@ -493,7 +492,7 @@ def test_packing_knows_added_tokens():
     from gridloom.llm.queries import tokenizer_path
 
     plain, made = Tokenizer.from_file(tokenizer_path()), Tokens(tokenizer_path())
-    for t in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "don't <|endoftext| > stop", "a  <|endoftext|>\n"):
+    for t in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "don't <|endoftext| > stop", "a  <|endoftext|>\n", "x" * 200_000 + " \u2003\u0085 ok", "\u1e9e \U0001f600 \ua7cb1", "日本 x\u0378y \x1c \x0b z"):
         assert np.frombuffer(made.encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
     assert np.frombuffer(made.encode("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
 
@@ -508,7 +507,11 @@ def test_crossover_keeps_every_piece_once():
     for _ in range(10):
         c = crossover(lengths, a, b, 2048, rng)
         assert (c >= 0).all() and np.bincount(c, weights=lengths).max() <= 2048
-    assert fitness(lengths, evolve(lengths, [], 2048, [1])[0], 2048) >= fitness(lengths, a, 2048)
+    # pieces that best fit alone places badly: the search needs fewer sequences
+    for seed in range(3):
+        hard = np.sort(np.random.default_rng(seed).integers(400, 1024, 600))[::-1].astype(np.int64)
+        alone = fitness(hard, best_fit(hard.tolist(), range(600), 2048), 2048)[0]
+        assert fitness(hard, evolve(hard, [], 2048, [seed])[0], 2048)[0] > alone
 
 
 # --- 9: chat
