@@ -76,6 +76,21 @@ def texts_of(batch, column: int = 0, rows: int = 512):
         yield from batch.column(column).slice(k, rows).to_pylist()
 
 
+def sliced(batches, rows: int = 512):
+    """The batches in small pieces, so that what a step makes of one is small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
+def beside(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, int]:
+    """The columns ``keep`` and the place of the text, which is sent once: it
+    is added behind them only where it is not among them."""
+    if text in keep and docs.schema[text].dataType.simpleString() == "string":
+        return docs.select(*keep), keep.index(text)
+    return docs.select(*keep, F.col(text).cast("string").alias("__text")), len(keep)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

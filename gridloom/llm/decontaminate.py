@@ -12,20 +12,22 @@ benchmark is sent to the executors, in blocks of at most ``block_words`` words
 Defined results: null or empty text has no words and is never contaminated;
 a null or empty benchmark item has no window; an empty benchmark leaves every
 document clean; items with the same id count once; repeated documents are
-scanned each for itself.
+scanned each for itself; very long texts are scanned whole, a few documents at
+a time; columns named like the results are replaced, others are passed on.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts_of, trimmed
+from .common import beside, sliced, texts_of, trimmed
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 10
@@ -82,10 +84,19 @@ def searchers(items: list[tuple[str, list[bytes]]], window: int) -> tuple[list[W
     return [WuManber(p, n) for n, p in sorted(by_length.items())], names
 
 
+#: The search tables that this worker has built last, by their block's name.
+_BUILT: dict[str, tuple[list[WuManber], list[str]]] = {}
+
+
 def _scan(items: list[tuple[str, list[bytes]]], window: int, text_at: int, out_schema: pa.Schema):
+    block = uuid.uuid4().hex
+
     def run(batches):
-        found, names = searchers(items, window)
-        for batch in batches:
+        if block not in _BUILT:
+            _BUILT.clear()
+            _BUILT[block] = searchers(items, window)
+        found, names = _BUILT[block]
+        for batch in sliced(batches, 256):
             n_words, starts, ends, hit_items = [], [], [], []
             for text in texts_of(batch, text_at):
                 words, spans, hit = words_of(text), [], set()
@@ -158,7 +169,7 @@ def decontaminate(
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // (2 * block_words)))  # a word and its gap take two bytes at least
     part: Column = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    work = docs.select(F.col(text).alias("__text"), *[F.col(c) for c in keep])
+    work, text_at = beside(docs, text, keep)
     out = docs.select(*keep).schema
     for c, kind in zip(added, ("long", "long", "long", "string", "boolean", "array<bigint>", "array<bigint>", "array<string>"), strict=True):
         out = out.add(c, kind if "<" not in kind else _array(kind))
@@ -168,19 +179,22 @@ def decontaminate(
         schema = work.limit(0)
         for c, kind in (("__n", "bigint"), ("__a", "array<bigint>"), ("__b", "array<bigint>"), ("__i", "array<string>")):
             schema = schema.withColumn(f"{c}{block}", F.lit(None).cast(kind))
-        scan = _scan(own, window, 0, to_arrow_schema(schema.schema))
+        scan = _scan(own, window, text_at, to_arrow_schema(schema.schema))
         if blocks == 1:  # the usual case: one pass
             fold = _fold()
-            return work.mapInArrow(lambda batches: trimmed(fold(_without_text(scan(batches)))), out)
+            width = len(keep)
+            return work.mapInArrow(lambda batches: trimmed(fold(_kept(scan(batches), width))), out)
         work = work.mapInArrow(scan, schema.schema)
     joined = lambda c: F.flatten(F.array(*[F.col(f"{c}{k}") for k in range(blocks)])).alias(c)
     work = work.select(*keep, F.col("__n0").alias("__n"), joined("__a"), joined("__b"), joined("__i"))
     return work.mapInArrow(_fold(), out)
 
 
-def _without_text(batches):
+def _kept(batches, width: int):
+    """The first ``width`` columns and the four that a pass adds."""
     for batch in batches:
-        yield pa.RecordBatch.from_arrays(batch.columns[1:], schema=pa.schema(list(batch.schema)[1:]))
+        columns = [*range(width), *range(batch.num_columns - 4, batch.num_columns)]
+        yield pa.RecordBatch.from_arrays([batch.column(k) for k in columns], names=[batch.schema.names[k] for k in columns])
 
 
 def _array(kind: str):

@@ -23,7 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,44 +66,49 @@ def with_fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | Non
 
 
 def _planes(fps: np.ndarray) -> np.ndarray:
-    """64 rows of bit planes, 64 fingerprints to a word."""
-    size = -(-len(fps) // 64) * 64
-    bits = np.unpackbits(np.pad(fps, (0, size - len(fps))).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    """A row of bit planes for each bit, 64 fingerprints to a word. ``fps`` has
+    one word for each fingerprint, or rows of several."""
+    fps = fps.reshape(len(fps), -1)
+    padded = np.zeros((-(-len(fps) // 64) * 64, fps.shape[1]), np.uint64)
+    padded[: len(fps)] = fps
+    bits = np.unpackbits(padded.view(np.uint8), axis=1, bitorder="little")
     return np.packbits(bits.T.copy(), axis=1, bitorder="little").view(np.uint64)
 
 
 def near(planes: np.ndarray, blocks: np.ndarray, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """For pairs of a block of 64 and a query: the pairs that stay, and their
-    lanes within the radius as a bit mask. Counters saturate at 8, so the
-    radius is 6 at most."""
-    alive = np.arange(len(blocks))
-    ones = np.zeros(len(blocks), np.uint64)
-    twos, fours, over = ones.copy(), ones.copy(), ones.copy()
-    one = np.uint64(1)
-    for j in range(0, 64, 2):
-        b, q = blocks[alive], queries[alive]
-        x = planes[j][b] ^ (np.uint64(0) - ((q >> np.uint64(j)) & one))
-        y = planes[j + 1][b] ^ (np.uint64(0) - ((q >> np.uint64(j + 1)) & one))
-        half = ones ^ x
-        carry = (ones & x) | (half & y)
-        ones = half ^ y
-        up = twos & carry
-        twos ^= carry
-        over |= fours & up
-        fours ^= up
+    lanes within the radius as a bit mask. Counters have as many bits as the
+    radius; a lane whose counter runs over is marked."""
+    alive, queries = np.arange(len(blocks)), queries.reshape(len(queries), -1)
+    counters = [np.zeros(len(blocks), np.uint64) for _ in range(radius.bit_length())]
+    over, one = np.zeros(len(blocks), np.uint64), np.uint64(1)
+    for j in range(0, len(planes), 2):
+        b, q = blocks[alive], queries[alive, j // 64]
+        x = planes[j][b] ^ (np.uint64(0) - ((q >> np.uint64(j % 64)) & one))
+        y = planes[j + 1][b] ^ (np.uint64(0) - ((q >> np.uint64((j + 1) % 64)) & one))
+        half = counters[0] ^ x
+        carry = (counters[0] & x) | (half & y)
+        counters[0] = half ^ y
+        for k in range(1, len(counters)):
+            counters[k], carry = counters[k] ^ carry, counters[k] & carry
+        over |= carry
         if j % 8 == 6:
-            stay = np.flatnonzero(~(over | _above(ones, twos, fours, radius)))
+            stay = np.flatnonzero(~(over | _above(counters, radius)))
             if len(stay) < 0.8 * len(alive):
-                alive, ones, twos, fours, over = alive[stay], ones[stay], twos[stay], fours[stay], over[stay]
-    return alive, ~(over | _above(ones, twos, fours, radius))
+                alive, over, counters = alive[stay], over[stay], [c[stay] for c in counters]
+    return alive, ~(over | _above(counters, radius))
 
 
-def _above(ones, twos, fours, radius: int):
-    """Lanes whose three-bit count is over the radius."""
-    out = np.zeros_like(ones)
-    for v in range(radius + 1, 8):
-        out |= (ones if v & 1 else ~ones) & (twos if v & 2 else ~twos) & (fours if v & 4 else ~fours)
-    return out
+def _above(counters: list[np.ndarray], radius: int) -> np.ndarray:
+    """Lanes whose count is over the radius, compared from the highest bit."""
+    more, same = np.zeros_like(counters[0]), ~np.zeros_like(counters[0])
+    for k in range(len(counters) - 1, -1, -1):
+        if radius >> k & 1:
+            same &= counters[k]
+        else:
+            more |= same & counters[k]
+            same &= ~counters[k]
+    return more
 
 
 def _lanes(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,15 +138,21 @@ def _union(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 def links(fps: np.ndarray, bounds: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links of the buckets fps[bounds[k]:bounds[k + 1]]."""
-    n = len(fps)
-    label = np.arange(n)
+    label = linked(fps, bounds, radius)
+    moved = np.flatnonzero(label != np.arange(len(fps)))
+    return fps[label[moved]], fps[moved]
+
+
+def linked(fps: np.ndarray, bounds: np.ndarray, radius: int) -> np.ndarray:
+    """For each place, the first place of its class within its bucket."""
+    label = np.arange(len(fps))
     sizes = np.diff(bounds)
     small = np.flatnonzero((sizes > 1) & (sizes <= HOT))
     # lanes of one block belong to one bucket: each bucket begins a new block
     per = -(-sizes[small] // 64)
     first = np.concatenate(([0], np.cumsum(per)))
     if len(small):
-        padded = np.zeros(int(first[-1]) * 64, np.uint64)
+        padded = np.zeros((int(first[-1]) * 64, *fps.shape[1:]), np.uint64)
         origin = np.full(len(padded), -1)
         rows = np.concatenate([np.arange(bounds[k], bounds[k + 1]) for k in small])
         slot = np.concatenate([np.arange(sizes[k]) + first[i] * 64 for i, k in enumerate(small)])
@@ -160,8 +171,7 @@ def links(fps: np.ndarray, bounds: np.ndarray, radius: int) -> tuple[np.ndarray,
             _union(label, mine[ok], other[ok])
     for k in np.flatnonzero(sizes > HOT):
         _dense(fps, int(bounds[k]), int(bounds[k + 1]), label, radius)
-    moved = np.flatnonzero(label != np.arange(n))
-    return fps[label[moved]], fps[moved]
+    return label
 
 
 def _dense(fps: np.ndarray, lo: int, hi: int, label: np.ndarray, radius: int) -> None:
@@ -177,7 +187,7 @@ def _dense(fps: np.ndarray, lo: int, hi: int, label: np.ndarray, radius: int) ->
             found = np.zeros(width * 64, bool)
             for k in range(0, width, PAIRS):
                 span = np.arange(k, min(width, k + PAIRS))
-                blocks, queries = np.tile(span, len(take)), np.repeat(fps[take], len(span))
+                blocks, queries = np.tile(span, len(take)), np.repeat(fps[take], len(span), axis=0)
                 alive, mask = near(planes, blocks, queries, radius)
                 at, lane = _lanes(mask)
                 found[blocks[alive[at]] * 64 + lane] = True
@@ -282,18 +292,23 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """One row of each component stays: that with the smallest doc_id."""
-    hashed = with_fingerprints(docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id")), keep=["row", "doc_id"], shingle=shingle)
-    marked = written(hashed.select("doc_id", "fp"), "marked")
-    return keep_first(docs, hashed, label_fingerprints(marked, radius), text)
+    hashed = with_fingerprints(docs.select(F.col(doc_id).alias("doc_id"), text_mark(text).alias("mark"), F.col(text).alias("text")), keep=["doc_id", "mark"], shingle=shingle)
+    marked = written(hashed, "marked")
+    return keep_first(docs, marked, label_fingerprints(marked, radius), doc_id, text)
+
 
+def text_mark(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
-def keep_first(docs: DataFrame, hashed: DataFrame, labels: DataFrame, text: str) -> DataFrame:
-    """The rows of ``docs`` that name their component; ``hashed`` has them as
-    row, doc_id and fp."""
-    from pyspark.sql import Window
 
+def keep_first(docs: DataFrame, marked: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that name their component. ``marked`` has doc_id,
+    fp and mark (text_mark) of all rows. Where rows share the id, that of the
+    smallest mark stays; of rows that repeat both, one."""
     columns = docs.columns
-    keepers = labels.select(F.col("component_id").alias("k"), F.col("rep_fp").alias("f")).distinct()
-    kept = hashed.join(keepers, hashed["doc_id"].eqNullSafe(keepers["k"]) & (hashed["fp"] == keepers["f"]), "left_semi")
-    turn = F.row_number().over(Window.partitionBy("doc_id", "fp").orderBy(F.col(f"row.{text}")))
-    return kept.withColumn("turn", turn).where("turn = 1").select(*[F.col("row")[c].alias(c) for c in columns])
+    named = marked.join(labels, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("rep_fp")))
+    keepers = named.groupBy("doc_id", "mark").agg(F.count("*").alias("times")).groupBy("doc_id").agg(F.min_by("times", "mark").alias("__times"), F.min("mark").alias("__mark")).withColumnRenamed("doc_id", "__id")
+    rows = docs.withColumn("__own", text_mark(text))
+    kept = rows.join(keepers, rows[doc_id].cast("long").eqNullSafe(keepers["__id"]) & (rows["__own"] == keepers["__mark"]))
+    single, several = kept.where("__times = 1"), kept.where("__times > 1").dropDuplicates(["__id", "__mark"])
+    return single.union(several).select(*[F.col(f"`{c}`") for c in columns])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_bucket, texts_of, trimmed, written
+from .common import beside, crc_bucket, sliced, texts_of, trimmed, written
 
 FOLDS = 5
 SAMPLE = 20_000
@@ -133,14 +133,16 @@ def _counts(totals: dict) -> pa.RecordBatch:
 
 def with_votes(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep``, votes and score."""
+    rows, at = beside(docs, text, keep)
+    width = len(keep)
 
     def run(batches):
-        for batch in batches:
-            votes = [model.votes(x) for x in texts_of(batch)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(votes, pa.list_(pa.int32())), pa.array([model.score(v) for v in votes], pa.float64())], names=[*batch.schema.names[1:], "votes", "score"])
+        for batch in sliced(batches):
+            votes = [model.votes(x) for x in texts_of(batch, at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(votes, pa.list_(pa.int32())), pa.array([model.score(v) for v in votes], pa.float64())], names=[*batch.schema.names[:width], "votes", "score"])
 
     schema = docs.select(*keep).schema.add("votes", T.ArrayType(T.IntegerType())).add("score", T.DoubleType())
-    return docs.select(F.col(text).cast("string").alias("__text"), *keep).mapInArrow(lambda batches: trimmed(run(batches)), schema)
+    return rows.mapInArrow(lambda batches: trimmed(run(batches)), schema)
 
 
 def _matrix(votes: list[list[int]], n: int) -> np.ndarray:
@@ -252,7 +254,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs`` that score under ``threshold``."""
-    columns = docs.columns
     model = fit(docs, labels, **options)
-    packed = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
-    return with_votes(packed, model, ["row"]).where(F.col("score") < threshold).select(*[F.col("row")[c].alias(c) for c in columns])
+    # positions, so that columns named votes or score stay apart
+    numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    kept = with_votes(numbered, model, numbered.columns, f"c{docs.columns.index('text')}").where(F.col("score") < threshold)
+    return kept.drop("votes", "score").toDF(*docs.columns)

@@ -418,6 +418,47 @@ def test_pipeline_drops_copies_from_0_8_on(spark, sf):
     assert {r["doc_id"] for r in near_duplicates(spark, tables, sf).collect()} == brute_similar([tuple(r) for r in tables.collect()])
 
 
+def test_wide_comparison_counts_all_bits():
+    from gridloom.llm.simhash import linked
+
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, (20, 2), np.uint64)
+    fps = np.repeat(base, 4, axis=0)
+    for row in fps:
+        for bit in rng.choice(128, int(rng.integers(0, 40)), replace=False):
+            row[bit // 64] ^= np.uint64(1 << int(bit % 64))
+    label = linked(fps, np.array([0, len(fps)]), 38)
+    whole = [int(a) | int(b) << 64 for a, b in fps]
+    want = list(range(len(fps)))
+    for _ in want:
+        want = [min(want[j] for j in range(len(fps)) if (whole[i] ^ whole[j]).bit_count() <= 38) for i in range(len(fps))]
+    assert label.tolist() == want
+
+
+def test_near_copies_in_blocks(spark):
+    """Hot buckets and groups of many blocks give the same components, and a
+    group near the threshold does not become pairs."""
+    from gridloom.llm.near_copies import similar_links, with_marks
+    from gridloom.llm.simhash import keep_first, label_nodes, text_mark
+
+    rng = random.Random(12)
+    template = [f"t{k}" for k in range(120)]
+    rows = []
+    for k in range(160):
+        copy = list(template)
+        for at in rng.sample(range(120), rng.randint(1, 5)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = with_marks(docs.withColumn("mark", text_mark("text")), "text", ["doc_id", "mark"]).cache()
+    want = brute_similar(rows)
+    for hot, nodes in ((4096, 1024), (3, 1024), (4096, 16), (3, 7)):
+        links = similar_links(marked, docs, "doc_id", "text", hot=hot, block_nodes=nodes).cache()
+        kept = keep_first(docs, marked, label_nodes(marked, links), "doc_id", "text")
+        assert {r["doc_id"] for r in kept.collect()} == want
+        assert links.count() <= 160 * 160 / nodes + 160
+
+
 # --- 7: toxicity
 
 
