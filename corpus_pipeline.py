@@ -33,10 +33,9 @@ def substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    columns = docs.columns
-    packed = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
-    found = decontaminate(packed, table(spark, sf_dir, "benchmark"), keep=["row"])
-    return found.where(~F.col("contaminated")).select(*[F.col("row")[c].alias(c) for c in columns])
+    numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    found = decontaminate(numbered, table(spark, sf_dir, "benchmark"), text=f"c{docs.columns.index('text')}")
+    return found.where(~F.col("contaminated")).select(*numbered.columns).toDF(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
