@@ -486,6 +486,64 @@ def test_toxicity_held_out(spark):
     assert {r["predicted"] for r in collected(toxicity_scores(d, lab.limit(0)))} == {0}
 
 
+def test_label_model_against_brute_force(spark):
+    """Posteriors and EM sums, pattern by pattern, with plain loops."""
+    import itertools
+    import math
+
+    from gridloom.llm import toxicity as X
+
+    rng = np.random.default_rng(6)
+    y = (rng.random(400) < 0.3).astype(float)
+    fire = lambda a, b: (rng.random(400) < np.where(y > 0, a, b)).astype(float)
+    one = fire(0.7, 0.1)
+    x = np.column_stack((one, np.where(rng.random(400) < 0.9, one, 1 - one), fire(0.2, 0.6), fire(0.5, 0.05), np.zeros(400)))
+    x[:, 4] = x[:, :4].sum(axis=1) == 0
+    model = X.LabelModel(x[:60], y[:60])
+    assert sorted(np.flatnonzero(model.parent < 0)) == [0] and model.parent[1] == 0  # the copy hangs on its original
+
+    def likelihood(row, c, m):
+        out = 1.0
+        for k in range(5):
+            up = m["parent"][k]
+            rate = m["rates"][int(row[up]) if up >= 0 else 0][c][k]
+            out *= rate if row[k] else 1 - rate
+        return out
+
+    def posterior(row, m):
+        a, b = m["prior"] * likelihood(row, 1, m), (1 - m["prior"]) * likelihood(row, 0, m)
+        return a / (a + b)
+
+    held = {"parent": model.parent.tolist(), "rates": model.rates.tolist(), "prior": model.prior}
+    for c in (0, 1):
+        assert abs(sum(likelihood(r, c, held) for r in itertools.product((0, 1), repeat=5)) - 1) < 1e-9
+    assert np.allclose(model.posterior(x), [posterior(r, held) for r in x], atol=1e-9)
+    votes = Counter(tuple(np.flatnonzero(r[:4]).tolist()) for r in x)
+    patterns = spark.createDataFrame([(list(v), n) for v, n in votes.items()], "votes array<int>, n long").repartition(5)
+    model.refine(patterns, rounds=1)
+    total, on = [0.0, 0.0], [[0.0] * 5 for _ in (0, 1)]
+    for rows, w, known in ((x[:60], 1.0, y[:60]), (x, 60 / 400, None)):
+        for k, r in enumerate(rows):
+            p = posterior(r, held) if known is None else known[k]
+            for c, q in ((0, 1 - p), (1, p)):
+                total[c] += w * q
+                for v in range(5):
+                    on[c][v] += w * q * r[v]
+    assert math.isclose(model.prior, total[1] / sum(total), rel_tol=1e-9)
+    assert np.allclose(model.rates[0, :, 0], [(on[c][0] + 0.5) / (total[c] + 1) for c in (0, 1)])
+    model.refine(patterns, rounds=3)
+    assert ((model.posterior(x) > 0.5) == (y > 0)).mean() > 0.85
+
+
+def test_toxicity_labels_that_disagree(spark):
+    from gridloom.llm.toxicity import _labelled
+
+    docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (1, None), (2, 0), (2, 0)], "doc_id long, toxic int")
+    assert sorted((r.y, r.text) for r in _labelled(docs, labels, "toxic", 10).collect() if r.text) == [(1, "a")]
+    assert _labelled(docs, labels, "toxic", 10).count() == 2
+
+
 # --- 8: packing
 
 
