@@ -20,7 +20,8 @@ holder is known, so each distinct key is sent once per chunk.
 Defined results: null and empty texts have no words; texts shorter than a
 window lose none; a null doc_id counts as larger than any other and rows with
 equal doc_ids never remove words of each other; windows repeated inside one
-document stay; extra columns are ignored.
+document stay; extra columns are ignored; very long texts are one document of
+their chunk, all of their windows compared; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -37,7 +38,6 @@ from pyspark.sql import functions as F
 from .exchange import answered, asked, chunk_count, dealt
 
 WINDOW = 50
-SEGMENT = 1 << 22
 U = np.uint64
 BYTE_BASES = (U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93))
 WORD_BASES = (U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB))
@@ -107,17 +107,12 @@ def sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint
     return _mixed(out)
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """Two 64-bit hashes of each word. The words are hashed whole by XXH3, not
+    by a polynomial, which structured words could make collide."""
+    from xxhash import xxh3_128_digest
 
-
-def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and the bytes as an array."""
-    raw = np.frombuffer(data, np.uint8)
-    word = np.zeros(len(raw) + 2, np.int8)
-    word[1:-1] = ~_SPACE[raw]
-    edge = np.diff(word)
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), raw
+    return np.frombuffer(b"".join(map(xxh3_128_digest, words)), "<u8").reshape(-1, 2)
 
 
 class Chunk:
@@ -130,30 +125,15 @@ class Chunk:
         self.rank = np.array([LAST if x is None else x for x in self.ids], np.int64)
         self.texts = [(texts[k] or "").encode("utf-8", "surrogatepass") for k in order]
         self.counts = np.zeros(len(order), np.int64)
-        hashes: list[list[np.ndarray]] = [[], []]
-        for lo, hi in self._segments():
-            data = b"\n".join(self.texts[lo:hi])
-            starts, ends, raw = word_spans(data)
-            limits = np.cumsum([len(x) + 1 for x in self.texts[lo:hi]])
-            self.counts[lo:hi] = np.diff(np.concatenate(([0], np.searchsorted(starts, limits))))
-            values = raw.astype(np.uint64) + U(1)
-            for k, base in enumerate(BYTE_BASES):
-                hashes[k].append(sums(values, starts, ends, base))
-        self.hashes = [np.concatenate(h) if h else np.empty(0, np.uint64) for h in hashes]
+        parts = [np.empty((0, 2), np.uint64)]
+        for k, text in enumerate(self.texts):
+            parts.append(word_hashes(text.split()))
+            self.counts[k] = len(parts[-1])
+        self.hashes = list(np.concatenate(parts).T.copy())
         self.first = np.concatenate(([0], np.cumsum(self.counts)))
         self.doc = np.repeat(np.arange(len(order)), self.counts)
         self.n = int(self.first[-1])
 
-    def _segments(self):
-        lo, size = 0, 0
-        for k, text in enumerate(self.texts):
-            if size and size + len(text) > SEGMENT:
-                yield lo, k
-                lo, size = k, 0
-            size += len(text) + 1
-        if lo < len(self.texts):
-            yield lo, len(self.texts)
-
     def whole(self, at: np.ndarray, width: int) -> np.ndarray:
         """Those word positions whose window stays in its document."""
         return at[at + width <= self.first[1:][self.doc[at]]]
