@@ -1,12 +1,14 @@
 """Approximate nearest neighbours on robust-pruned directed graphs.
 
-Distinct vectors are dealt to shards of bounded size. In each shard a graph is
-built by batches: a greedy beam search over the graph so far proposes
-neighbours, relaxed distance pruning keeps a diverse few, and reverse edges are
-pruned where a node has too many. Largest inner product becomes smallest
-Euclidean distance by one more coordinate that lifts every vector to the norm
-of the longest. Queries, in blocks, beam-search every shard, and the shards'
-best are merged; scores are inner products of the original vectors in double
+Distinct vectors are dealt to shards of bounded size, each of vectors whose
+norms lie between two powers of two. In each shard a graph is built by batches:
+a greedy beam search over the graph so far proposes neighbours, relaxed
+distance pruning keeps a diverse few, and reverse edges are pruned where a node
+has too many. Largest inner product becomes smallest Euclidean distance by one
+more coordinate that lifts every vector to the norm of the shard's longest;
+shards are scaled to that norm, so one very long vector costs the others no
+precision. Queries, in blocks, beam-search every shard, and the shards' best
+are merged; scores are inner products of the original vectors in double
 precision.
 
 Vectors that occur often stand in the graph once with their smallest ids: of
@@ -15,28 +17,37 @@ equal scores the smaller ids win, so no other id can be a result.
 Defined results: null, zero, and vectors with null or non-finite components
 take no part, nor do null ids; only vectors of one dimension are compared; with
 fewer candidates than k, all are returned; repeated query rows are searched
-once and answered once each; extra columns are ignored.
+once and answered once each; an empty table gives an empty one; extra columns
+are ignored. A score too large for double precision is infinite.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
-SHARD_ROWS = 8192
-QUERY_BLOCK = 4096
+#: Vectors of a shard: the first up to 2**16 vectors, then growing with the
+#: square root of their number, the second at most.
+SHARD_ROWS = (8192, 65536)
+QUERY_BLOCK = 32768
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 32, 64, 128, 1.2
 K = 20
 STEP = 256
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Scaled so that the longest row has length one, without overflow."""
+    x = x / np.abs(x).max(initial=np.finfo(float).tiny)
+    return x / max(np.sqrt(np.square(x).sum(axis=1)).max(initial=0), np.finfo(float).tiny)
+
+
 def lifted(x: np.ndarray) -> np.ndarray:
-    norm = np.square(x).sum(axis=1)
-    return np.column_stack((x, np.sqrt(np.maximum(norm.max() - norm, 0)))).astype(np.float32)
+    x = unit(x)
+    return np.column_stack((x, np.sqrt(np.maximum(1 - np.square(x).sum(axis=1), 0)))).astype(np.float32)
 
 
 def beam_search(x: np.ndarray, graph: np.ndarray, entries: np.ndarray, queries: np.ndarray, beam: int, width: int = 2) -> tuple[np.ndarray, np.ndarray]:
@@ -160,20 +171,31 @@ def _stack(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1).astype(np.float64)
 
 
-def index(rows: DataFrame, k: int, shards: int) -> DataFrame:
+def norm_band(embedding: str) -> Column:
+    """floor(log2(norm)), whatever the components' size."""
+    most = F.array_max(F.transform(embedding, lambda v: F.abs(v.cast("double"))))
+    square = F.aggregate(embedding, F.lit(0.0), lambda total, v: total + (v / most) * (v / most))
+    return F.floor(F.log2(most) + F.log2(square) / 2).cast("int")
+
+
+def index(rows: DataFrame, k: int, shard_rows: int) -> DataFrame:
     """dim, shard and the shard's vectors, ids and graph, written."""
     few = rows.withColumn("turn", F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))).where(F.col("turn") <= k + 1)
     classes = few.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    dealt = classes.select(F.size("embedding").alias("dim"), F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int").alias("shard"), "embedding", "ids")
+    classes = written(classes.select(F.size("embedding").alias("dim"), norm_band("embedding").alias("band"), "embedding", "ids"), "classes")
+    # a shard's number tells its band; there are some thousand bands at most
+    bands = classes.groupBy("dim", "band").agg(F.ceil(F.count("*") / shard_rows).alias("parts"))
+    number = F.concat_ws(":", "band", F.pmod(F.xxhash64("embedding"), F.col("parts")))
+    dealt = classes.join(F.broadcast(bands), ["dim", "band"]).select("dim", number.alias("shard"), "embedding", "ids")
 
     def run(key, table):
         x = _stack(table.column("embedding"))
         ids = table.column("ids").combine_chunks()
         graph, entries = build(lifted(x))
         blobs = [x, ids.flatten().to_numpy().astype(np.int64), np.diff(ids.offsets.to_numpy()).astype(np.int32), graph.astype(np.int32), entries.astype(np.int32)]
-        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()), **{n: pa.array([b.tobytes()], pa.binary()) for n, b in zip(("vectors", "ids", "sizes", "graph", "entries"), blobs, strict=True)}})
+        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.string()), **{n: pa.array([b.tobytes()], pa.binary()) for n, b in zip(("vectors", "ids", "sizes", "graph", "entries"), blobs, strict=True)}})
 
-    return written(dealt.groupBy("dim", "shard").applyInArrow(run, "dim int, shard int, vectors binary, ids binary, sizes binary, graph binary, entries binary"), "graphs")
+    return written(dealt.groupBy("dim", "shard").applyInArrow(run, "dim int, shard string, vectors binary, ids binary, sizes binary, graph binary, entries binary"), "graphs")
 
 
 def _search(key, table, graphs):
@@ -191,11 +213,13 @@ def _search(key, table, graphs):
     out = [[], [], []]
     for lo in range(0, len(q), STEP):
         part = q[lo : lo + STEP]
-        found, _ = beam_search(high, graph, entries, np.column_stack((part, np.zeros(len(part)))).astype(np.float32), max(SEARCH_BEAM, 2 * k))
+        ways = np.concatenate([unit(p[None]) for p in part])
+        found, _ = beam_search(high, graph, entries, np.column_stack((ways, np.zeros(len(part)))).astype(np.float32), max(SEARCH_BEAM, 2 * k))
         for row, hits in enumerate(found):
             hits = hits[hits >= 0]
-            score = (x[hits] * part[row]).sum(axis=1)
-            who = np.concatenate([ids[first[h] : first[h + 1]] for h in hits])
+            with np.errstate(over="ignore", invalid="ignore"):
+                score = (x[hits] * part[row]).sum(axis=1)
+            who = np.concatenate([ids[:0], *[ids[first[h] : first[h + 1]] for h in hits]])
             score = np.repeat(score, sizes[hits])
             best = np.lexsort((who, -score))[:k]
             out[0].append(np.full(len(best), qid[lo + row]))
@@ -204,19 +228,21 @@ def _search(key, table, graphs):
     return pa.table({"qid": np.concatenate(out[0]), "vec_id": np.concatenate(out[1]), "score": np.concatenate(out[2])})
 
 
-def nearest(vectors: DataFrame, query_ids, vec_id: str = "vec_id", embedding: str = "embedding", k: int = K, shard_rows: int = SHARD_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
+def nearest(vectors: DataFrame, query_ids, vec_id: str = "vec_id", embedding: str = "embedding", k: int = K, shard_rows: int | None = None, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score. ``query_ids`` is a condition on the
-    column vec_id that names the queries."""
+    column vec_id that names the queries. Every query is searched in every
+    shard: the cost is queries x shards x one beam search."""
     rows = valid(vectors, vec_id, embedding)
     queries = rows.where(query_ids)
     counts = rows.agg(F.count("*").alias("n"), F.count(F.when(query_ids, 1)).alias("q")).first()
-    shards, blocks = max(1, -(-counts["n"] // shard_rows)), max(1, -(-counts["q"] // query_block))
-    graphs = index(rows, k, shards)
+    blocks = max(1, -(-counts["q"] // query_block))
+    graphs = index(rows, k, shard_rows or int(min(SHARD_ROWS[1], SHARD_ROWS[0] * max(1.0, (counts["n"] / (1 << 16)) ** 0.5))))
     asked = written(queries.groupBy("embedding").agg(F.min("vec_id").alias("qid")), "queries")
     spread = asked.select(F.size("embedding").alias("dim"), F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int").alias("block"), "qid", "embedding", F.lit(k).alias("k"))
-    spread = spread.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    # names only, one for 8,192 vectors or more
+    spread = spread.join(F.broadcast(graphs.select(F.col("dim").alias("d"), F.col("shard").alias("part"))), F.col("dim") == F.col("d")).drop("d")
     many = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = spread.groupBy("dim", "shard", "block").cogroup(many.groupBy("dim", "shard", "block")).applyInArrow(_search, "qid long, vec_id long, score double")
+    found = spread.groupBy("dim", "part", "block").cogroup(many.groupBy("dim", "shard", "block")).applyInArrow(_search, "qid long, vec_id long, score double")
     best = lambda key: Window.partitionBy(key).orderBy(F.col("score").desc(), "vec_id")
     top = found.withColumn("turn", F.row_number().over(best("qid"))).where(F.col("turn") <= k + 1).drop("turn")
     mine = queries.join(asked, "embedding").select(F.col("vec_id").alias("query_id"), "qid")

@@ -114,6 +114,25 @@ def test_substring_dedup(corpus, window):
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == want
 
 
+def test_structured_words_differ(spark):
+    """Words that collide under polynomial hashes modulo 2**64."""
+    from gridloom.llm.substring_dedup import substring_dedup
+
+    morse = "".join("ab"[k.bit_count() & 1] for k in range(4096))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    tail = " ".join(f"v{k}" for k in range(60))
+    rows = [(1, f"{morse} {tail[:150]}"), (2, f"{other} {tail[:150]}"), (3, " ".join([morse] * 60)), (4, " ".join([other] * 60)), (5, " ".join([morse] * 55))]
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 0, 5: 55}
+
+
+def test_null_and_repeated_ids_are_dealt(spark):
+    from gridloom.llm.exchange import dealt
+
+    docs = spark.createDataFrame([(None if k % 2 else 5, f"t{k}") for k in range(200)], "doc_id long, text string")
+    assert dealt(docs, 16, "doc_id", "text").select("chunk").distinct().count() > 10
+
+
 def test_covers():
     from gridloom.llm.substring_dedup import difference_cover, period_for
 
@@ -680,6 +699,36 @@ def test_neighbours(spark):
     assert nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_recall_at_a_shards_size(spark):
+    """8,192 vectors, alone and with one that is very much longer; components
+    of any size."""
+    from pyspark.sql import functions as F
+
+    from gridloom.llm.ann import nearest
+
+    rng = np.random.default_rng(14)
+    centres = rng.normal(size=(80, 32))
+    x = centres[rng.integers(0, 80, 8192)] + 0.6 * rng.normal(size=(8192, 32))
+    for extra in (None, 1e8, 1e20, 1e200):
+        rows = [(k, v.tolist()) for k, v in enumerate(x)]
+        y = x
+        if extra:
+            y = np.vstack((x, [extra, *[0.0] * 31]))
+            rows.append((8193, y[-1].tolist()))
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        by = defaultdict(set)
+        for r in nearest(df, F.col("vec_id") % 160 == 0).collect():
+            by[r.query_id].add(min(r.vec_id, 8192))
+        hits = 0
+        for q, found in by.items():
+            s = y @ x[q]
+            s[q] = -np.inf
+            hits += len(found & set(np.argsort(-s, kind="stable")[:20].tolist()))
+            if extra and x[q, 0] > 0.01:
+                assert 8192 in found
+        assert len(by) == 52 and hits >= 0.9 * 20 * len(by)
+
+
 # --- pipeline
 
 
