@@ -79,6 +79,42 @@ def signature(formula: str | None, row: int, col: int) -> str | None:
     return "=" + "".join(out)
 
 
+def translated(formula: str | None, row: int, col: int) -> str | None:
+    """The formula as if moved to A1: relative parts move along, and what would
+    leave the sheet is an error. What can't be split is folded text."""
+    if not formula:
+        return None
+
+    def one(cell: str) -> str | None:
+        m = ONE.match(cell)
+        if not m:
+            return cell
+        c = _number(m[2]) if m[1] else _number(m[2]) - col + 1
+        r = int(m[4]) if m[3] else int(m[4]) - row + 1
+        return f"{m[1]}{_letters(c)}{m[3]}{r}" if c > 0 and r > 0 else None
+
+    try:
+        parts = tokens(formula)
+    except FormulaError:
+        return re.sub(r"\s+", " ", formula).strip().casefold()
+    out = []
+    for kind, text in parts:
+        if kind == "range":
+            sheet, mark, cells = text.rpartition("!")
+            moved = [one(x) for x in cells.split(":")]
+            text = sheet + mark + ("#REF!" if None in moved else ":".join(moved))
+        out.append(text)
+    return "=" + "".join(out)
+
+
+def _letters(number: int) -> str:
+    out = ""
+    while number:
+        number, k = divmod(number - 1, 26)
+        out = chr(65 + k) + out
+    return out
+
+
 def status(formula: str | None) -> str | None:
     if not formula:
         return None
@@ -99,6 +135,11 @@ def signature_udf(formula: pd.Series, row: pd.Series, col: pd.Series) -> pd.Seri
     return pd.Series([signature(f, int(r), int(c)) for f, r, c in zip(formula, row, col, strict=True)])
 
 
+@F.pandas_udf(T.StringType())
+def translated_udf(formula: pd.Series, row: pd.Series, col: pd.Series) -> pd.Series:
+    return pd.Series([translated(f, int(r), int(c)) for f, r, c in zip(formula, row, col, strict=True)])
+
+
 @F.pandas_udf(T.StringType())
 def status_udf(formula: pd.Series) -> pd.Series:
     return formula.map(status)

@@ -14,6 +14,10 @@ SOURCE = r"^\s*(?:source|sourcing)\b|https?://|equal\s+to\s+figures"
 INSTRUCTION = r"^\s*(?:please|ensure|must|manually|enter|fill\s+in)\b|^\s*complete\s+(?:all|the|these|yellow|required|missing|cells?)\b|please\s+ensure"
 NOTE = r"^\s*(?:note|definition|where)\b|^\s*(?:\*|\(\*)"
 PROSE_BANNER = r"copy\s+table|please\s+ensure|instructions?|definitions?|notes?:"
+NOTE_ROW = r"^\s*(?:note|source|sourcing|definition|where|please|\*|\(\*)|copy\s+table|do\s+not\s+copy|manual(?:ly)?\s+enter"
+TITLE_BANNER = r"copy\s+table|copy\s+.*powerpoint|please\s+ensure"
+BLOCK_SOURCE = r"source|sourcing|ilon|perseus|https?://|equal\s+to\s+figures"
+BLOCK_INSTRUCTION = r"please|ensure|must|enter|complete|copy|do\s+not|manually"
 TOTAL = r"(?:^|\b)(?:grand\s+total|sub\s*total|subtotal|total)(?:\b|$)"
 
 
@@ -31,6 +35,15 @@ def folded(text: Column) -> Column:
     return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
 
 
+def distinct_in_order(texts: Column) -> Column:
+    return F.array_distinct(texts)
+
+
+def without_repeats(texts: Column) -> Column:
+    """Without texts that equal the one before, whatever their case."""
+    return F.filter(texts, lambda t, k: F.coalesce(folded(normalize_ws(t)) != folded(normalize_ws(F.get(texts, k - 1))), F.lit(True)))
+
+
 def slug(text: Column, fallback: str = "item", limit: int = 60) -> Column:
     made = F.regexp_replace(F.regexp_replace(folded(text), "[^a-z0-9]+", "-"), "^-+|-+$", "")
     made = F.regexp_replace(F.substring(made, 1, limit), "-+$", "")
@@ -68,10 +81,3 @@ def row_drop_reason(role: Column, texts: Column, measures: Column) -> Column:
         .when(role.isin("note", "footnote", "source", "instruction", "banner", "spacer", "title"), role)
         .when(~rescued, noise)
     )
-
-
-def script_safe(json: Column) -> Column:
-    """JSON that may stand inside a script element."""
-    for plain, code in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e"), (" ", "\\u2028"), (" ", "\\u2029")):
-        json = F.replace(json, F.lit(plain), F.lit(code))
-    return json

@@ -167,5 +167,53 @@ def components(cells: DataFrame, horizontal_gap: int = 0, vertical_gap: int = 0)
     return runs.groupBy(*KEYS).applyInPandas(solve, "workbook string, sheet string, min_row int, min_col int, max_row int, max_col int, cells long")
 
 
+def linked(cells: DataFrame, horizontal, vertical, together: Column | None = None) -> DataFrame:
+    """Adds component to cells: cells are linked to the one before them in
+    their row or column where ``horizontal(before, gap)`` or ``vertical(before,
+    gap)`` holds (``before`` is that cell, ``gap`` the empty cells between),
+    and to all cells with the same value of ``together``.
+
+    Rows are first cut into runs; a union-find per sheet sees the distinct
+    links between runs, never cells."""
+    c = F.col
+    before = lambda order, *by: F.lag(F.struct(*cells.columns)).over(Window.partitionBy(*KEYS, *by).orderBy(order))
+    marked = cells.withColumn("b", before("col", "row"))
+    joins = F.coalesce(horizontal(c("b"), c("col") - c("b.col") - 1), F.lit(False))
+    marked = marked.withColumn("run", F.sum((~joins).cast("int")).over(Window.partitionBy(*KEYS, "row").orderBy("col")).cast("int")).drop("b")
+    above = F.lag(F.struct(*cells.columns, "run")).over(Window.partitionBy(*KEYS, "col").orderBy("row"))
+    down = marked.withColumn("b", above).where(F.coalesce(vertical(c("b"), c("row") - c("b.row") - 1), F.lit(False)))
+    edges = down.select(*KEYS, "row", "run", c("b.row").alias("row2"), c("b.run").alias("run2"))
+    if together is not None:
+        first = F.min(F.struct("row", "run")).over(Window.partitionBy(*KEYS, "group"))
+        same = marked.withColumn("group", together).where(c("group").isNotNull()).withColumn("first", first)
+        edges = edges.unionByName(same.select(*KEYS, "row", "run", c("first.row").alias("row2"), c("first.run").alias("run2")))
+    edges = edges.where("row <> row2 or run <> run2").distinct()
+    runs = marked.select(*KEYS, "row", "run").distinct()
+    names = [f"e_{k}" for k in KEYS]
+    edges = edges.select(*[c(k).alias(n) for k, n in zip(KEYS, names, strict=True)], "row", "run", "row2", "run2")
+
+    def solve(key, own, links):
+        import pyarrow as pa
+
+        nodes = list(zip(own.column("row").to_pylist(), own.column("run").to_pylist(), strict=True))
+        root = {n: n for n in nodes}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for r, k, r2, k2 in zip(*(links.column(n).to_pylist() for n in ("row", "run", "row2", "run2")), strict=True):
+            a, b = find((r, k)), find((r2, k2))
+            root[max(a, b)] = min(a, b)
+        names = ["{}:{}".format(*find(n)) for n in nodes]
+        return own.append_column("component", pa.array(names, pa.string()))
+
+    schema = runs.schema.simpleString()[7:-1].replace(":", " ") + ", component string"
+    found = runs.groupBy(*KEYS).cogroup(edges.groupBy(*names)).applyInArrow(solve, schema)
+    return marked.join(found, [*KEYS, "row", "run"]).drop("run")
+
+
 def content_bounds(cells: DataFrame, condition: Column) -> DataFrame:
     return cells.where(condition).groupBy(*KEYS).agg(F.min("row").alias("min_row"), F.min("col").alias("min_col"), F.max("row").alias("max_row"), F.max("col").alias("max_col"))

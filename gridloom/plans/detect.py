@@ -1,4 +1,6 @@
-"""Table candidates: metrics, score, thresholds and suppression."""
+"""Table candidates: components, metrics, score, thresholds and suppression.
+
+Cells come as features (see ``structure.features``), one row per cell."""
 
 from __future__ import annotations
 
@@ -8,10 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.geometry import Rect
 from ..functions.headers import TOKEN
 from ..functions.text import is_prose, matches
-from ..functions.values import NUMERIC_KINDS
-from ..operators.spatial import cells_in_rects, components
+from ..operators.spatial import cells_in_rects, linked
+from .structure import features
 
 KEYS = ["workbook", "sheet"]
+SIDES = ["min_row", "min_col", "max_row", "max_col"]
 ID = [*KEYS, "candidate"]
 ACCEPT, UNCERTAIN = 0.50, 0.35  # fixed values: default thresholds
 
@@ -22,77 +25,108 @@ WEIGHTS = {
 }
 
 
-def active() -> Column:
-    return (F.col("kind") != "blank") | F.col("formula").isNotNull() | (F.col("border_edges") > 0)
+# Metrics that give a reason from 0.55 on.
+REASONS = {
+    "grid": "continuous border/grid scaffold", "header": "header or period/scenario evidence", "axes": "label and value axes", "rectangularity": "rectangular structural occupancy",
+    "regularity": "repeated row/column structure", "series": "repeated numeric/formula series", "section_structure": "section-band structure",
+}
+METRICS = [k for k in WEIGHTS if k not in ("explicit", "named")]
+
+
+def can_bridge(b: Column, gap: Column, horizontal: bool) -> Column:
+    """Whether a cell belongs with ``b``, the one before it, over a gap: never
+    across prose; with the same style, borders, rules, formulas or numbers on
+    both sides; and in a row from a short label to a value."""
+    c = F.col
+    same = lambda name: b[name] & c(name)
+    merge = (b["m_row"] == c("m_row")) & (b["m_col"] == c("m_col"))
+    alike = F.coalesce(b["style_hash"] == c("style_hash"), F.lit(False)) | same("border") | same("validation") | same("calc") | same("number")
+    if horizontal:
+        short = lambda text: (text != "") & (F.char_length(text) <= 80)
+        alike = alike | (((b["number"] | b["calc"]) != (c("number") | c("calc"))) & same("content") & (short(b["text"]) | short(c("text"))))
+    return (gap <= 0) | F.coalesce(merge, F.lit(False)) | (~b["prose"] & ~c("prose") & alike)
 
 
-def candidates_from_components(cells: DataFrame, horizontal_gap: int = 2, vertical_gap: int = 1) -> DataFrame:
-    """Components of active cells. Prose without a border never bridges a gap,
-    so banners and notes beside a table stay out."""
-    prose = (F.col("kind") == "text") & (F.col("border_edges") == 0) & is_prose(F.col("v_str"))
-    found = components(cells.where(active() & ~prose), horizontal_gap, vertical_gap)
-    return found.select(*KEYS, Rect.of().ref.alias("candidate"), *Rect.of().columns(), F.lit("component").alias("method"), F.lit(False).alias("forced"))
+def evidence(f: DataFrame) -> DataFrame:
+    """Features with content (a value or a formula) and prose."""
+    return f.withColumn("content", (F.col("kind") != "blank") | F.col("calc")).withColumn("prose", (F.col("text") != "") & is_prose(F.col("text")))
 
 
-def metrics(cells: DataFrame, candidates: DataFrame, max_area: int = 1_000_000) -> DataFrame:
-    """The metrics of each candidate, rounded to six places."""
+def candidates_from_components(f: DataFrame, horizontal_gap: int = 2, vertical_gap: int = 1) -> DataFrame:
+    """Components of structural cells; a merge is one node."""
     c = F.col
-    inside = cells_in_rects(cells.where(active()), candidates.select(*ID, *Rect.of().columns()))
-    has_value = (c("kind") != "blank") | c("formula").isNotNull()
-    number = c("kind").isin(*NUMERIC_KINDS) | c("formula").isNotNull()
-    text = c("kind") == "text"
-    top = c("row") < c("min_row") + 5
-    edge = (c("row") == c("min_row")) | (c("row") == c("max_row")) | (c("col") == c("min_col")) | (c("col") == c("max_col"))
-    rows = inside.groupBy(*ID, "row").agg(
-        F.count("*").alias("n"), F.collect_set("col").alias("cols"), F.min("col").alias("lo"), F.max("col").alias("hi"), F.count_if(number).alias("numbers"),
-        F.min(F.when(text, c("col"))).alias("first_text"), F.max(F.when(number, c("col"))).alias("last_number"),
-        F.count_if(text).alias("texts"), F.count_if(c("bold")).alias("styled"), F.count_if(text & (F.upper("v_str") == c("v_str")) & (F.char_length("v_str") <= 70)).alias("caps"),
+    cells = evidence(f).where("structural").select(*KEYS, "row", "col", "text", "number", "calc", "content", "prose", "border", "validation", "style_hash", "m_row", "m_col")
+    joins = lambda limit, horizontal: lambda b, gap: (gap <= limit) & can_bridge(b, gap, horizontal)
+    found = linked(cells, joins(horizontal_gap, True), joins(vertical_gap, False), F.when(c("m_row").isNotNull(), F.struct("m_row", "m_col")))
+    boxes = found.groupBy(*KEYS, "component").agg(F.min("row").alias("min_row"), F.min("col").alias("min_col"), F.max("row").alias("max_row"), F.max("col").alias("max_col"))
+    return candidates(boxes, "sparse-component", F.lit(None).cast("string"), False)
+
+
+def candidates(boxes: DataFrame, method: str, name: Column, forced: bool) -> DataFrame:
+    """Candidates from rectangles, found by ``method``."""
+    key = F.concat_ws("|", F.lit(method), name, Rect.of().ref)
+    return boxes.select(*KEYS, key.alias("candidate"), *SIDES, F.array(F.lit(method)).alias("methods"), name.alias("source_name"), F.lit(forced).alias("forced")).dropDuplicates(ID)
+
+
+def metrics(f: DataFrame, found: DataFrame, max_area: int = 1_000_000) -> DataFrame:
+    """The metrics of each candidate, rounded to six places: one aggregation by
+    its rows, one by itself."""
+    c, n = F.col, F.count_if
+    inside = cells_in_rects(evidence(f).where("structural"), found.select(*ID, *SIDES))
+    value, text, merged = c("number") | c("calc"), c("text") != "", c("m_row").isNotNull()
+    top = c("row") <= F.least(c("max_row"), c("min_row") + 4)
+    edge = c("row").isin(c("min_row"), c("max_row")) | c("col").isin(c("min_col"), c("max_col"))
+    dressed = c("styled") | merged
+    rows = inside.groupBy(*ID, *SIDES, "row").agg(
+        F.count("*").alias("n"), F.collect_set("col").alias("cols"), F.min("col").alias("lo"), F.max("col").alias("hi"), n(value).alias("values"), F.min(F.when(text & ~c("number"), c("col"))).alias("first_text"), F.max(F.when(value, c("col"))).alias("last_value"),
+        n(text).alias("texts"), n(text & dressed).alias("dressed"), n("border").alias("bordered"), F.sum(F.least("edges", F.lit(4))).alias("edges"), n("content").alias("content"), n(c("content") & value).alias("numeric"), n("calc").alias("formulas"),
+        n(c("content") & text).alias("said"), n(c("content") & text & c("prose")).alias("prose"), n(top & c("content")).alias("top"), n(top & c("content") & text).alias("top_text"), n(top & c("content") & text & matches(c("text"), TOKEN)).alias("top_tokens"),
+        n(top & c("content") & dressed).alias("top_dressed"), n(~top & c("content") & c("number")).alias("below"), n(edge).alias("edge"), n(edge & c("border")).alias("bordered_edge"), n(c("validation") | c("noted")).alias("evidence"),
     )
     before = F.lag("cols").over(Window.partitionBy(*ID).orderBy("row"))
     rows = rows.withColumn("before", before)
     jaccard = F.size(F.array_intersect("cols", "before")) / F.size(F.array_union("cols", "before"))
-    by_row = rows.groupBy(*ID).agg(
-        F.count("*").alias("rows"), F.avg(F.when(c("before").isNotNull(), jaccard)).alias("jaccard"), F.avg(c("n") / (c("hi") - c("lo") + 1)).alias("filled"),
-        F.count_if(c("numbers") > 0).alias("value_rows"), F.count_if((c("numbers") > 0) & (c("first_text") < c("last_number"))).alias("axis_rows"), F.count_if(c("numbers") >= 2).alias("series_rows"),
-        F.count_if((c("numbers") == 0) & c("texts").between(1, 2) & ((c("caps") > 0) | (2 * c("styled") >= c("n")))).alias("section_rows"),
+    summed = ["n", "bordered", "edges", "content", "numeric", "formulas", "said", "prose", "top", "top_text", "top_tokens", "top_dressed", "below", "edge", "bordered_edge", "evidence"]
+    m = rows.groupBy(*ID, *SIDES).agg(
+        F.count("*").alias("rows"), F.avg(F.when(c("before").isNotNull(), jaccard)).alias("jaccard"), F.avg(F.size("cols") / (c("hi") - c("lo") + 1)).alias("filled"), F.size(F.array_distinct(F.flatten(F.collect_set("cols")))).alias("columns"),
+        n(c("values") > 0).alias("value_rows"), n((c("values") > 0) & (c("first_text") < c("last_value"))).alias("axis_rows"), n(c("values") >= 2).alias("series_rows"),
+        n(c("texts").between(1, 2) & (c("values") == 0) & (c("dressed") > 0)).alias("section_rows"), *[F.sum(x).alias(x) for x in summed],
     )
-    by_cell = inside.groupBy(*ID, *[c(n) for n in ("min_row", "min_col", "max_row", "max_col")]).agg(
-        F.count("*").alias("material"), F.countDistinct("col").alias("columns"), F.count_if(c("border_edges") > 0).alias("bordered"), F.sum(F.least("border_edges", F.lit(4))).alias("edges"),
-        F.count_if(has_value).alias("content"), F.count_if(number).alias("numeric"), F.count_if(text).alias("texts"), F.count_if(text & is_prose(c("v_str"))).alias("prose"),
-        F.count_if(top & text).alias("top_text"), F.count_if(top & text & matches(c("v_str"), TOKEN)).alias("top_tokens"), F.count_if(top & text & (c("bold") | c("has_fill"))).alias("top_styled"),
-        F.min(F.when(text, c("row"))).alias("first_text_row"), F.max(F.when(number, c("row"))).alias("last_number_row"), F.count_if(edge & (c("border_edges") > 0)).alias("bordered_edge"),
-    )
-    m = by_cell.join(by_row, ID)
+    m = found.join(m.drop(*SIDES), ID, "left").fillna(0, ["rows", "columns", "value_rows", "axis_rows", "series_rows", "section_rows", *summed]).fillna(0.0, ["jaccard", "filled"])
     r = Rect.of()
-    share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
-    perimeter = F.when((r.height == 1) | (r.width == 1), r.area).otherwise(2 * (r.height + r.width) - 4)
+    least_one = lambda x: F.greatest(F.lit(1), x)
     flag = lambda x: x.cast("double")
     out = {
-        "grid": 0.55 * share(c("bordered"), c("material")) + 0.45 * share(c("edges"), 4 * c("material")),
-        "header": F.least(F.lit(1.0), 0.60 * share(c("top_tokens"), c("top_text")) + 0.25 * share(c("top_styled"), c("top_text")) + 0.15 * F.coalesce(flag(c("first_text_row") < c("last_number_row")), F.lit(0.0))),
-        "axes": share(c("axis_rows"), c("value_rows")),
-        "series": share(c("series_rows"), c("value_rows")),
-        "rectangularity": F.sqrt(share(c("rows"), r.height) * share(c("columns"), r.width)) * c("filled"),
-        "regularity": F.when(c("rows") > 1, c("jaccard")).otherwise(F.least(F.lit(0.5), c("material") / F.greatest(F.lit(2), r.width))),
-        "boundary": share(c("bordered_edge"), perimeter),
-        "section_structure": F.least(F.lit(1.0), c("section_rows") / F.greatest(F.lit(1.0), 0.15 * c("rows"))),
-        "structural_density": F.least(F.lit(1.0), 2 * c("material") / r.area),
-        "prose_only": F.when(c("numeric") <= 1, share(c("prose"), c("texts"))).otherwise(0.0),
-        "background_only": flag(c("content") == 0),
-        "huge_sparse": flag((r.area > max_area) | ((r.area > 10_000) & (c("material") < 0.02 * r.area))),
-        "tiny": flag((r.area < 4) | (r.height == 1) | (r.width == 1)),
+        "grid": F.when(c("n") > 0, 0.55 * c("bordered") / c("n") + 0.45 * c("edges") / (4 * c("n"))).otherwise(0.0),
+        "header": F.least(F.lit(1.0), 0.60 * c("top_tokens") / least_one(c("top_text")) + 0.25 * c("top_dressed") / least_one(c("top")) + 0.15 * flag((c("top_text") > 0) & (c("below") > 0))),
+        "axes": c("axis_rows") / least_one(c("value_rows")),
+        "rectangularity": F.sqrt(c("rows") / r.height * c("columns") / r.width) * c("filled"),
+        "regularity": F.when(c("rows") == 1, F.least(F.lit(0.5), c("columns") / F.greatest(F.lit(2), r.width))).otherwise(c("jaccard")),
+        "series": c("series_rows") / least_one(c("value_rows")),
+        "boundary": F.coalesce(F.try_divide(c("bordered_edge"), c("edge")), F.lit(0.0)),
+        "section_structure": F.least(F.lit(1.0), c("section_rows") / F.greatest(F.lit(1.0), c("rows") * 0.15)),
+        "structural_density": F.least(F.lit(1.0), c("n") / r.area * 2.0),
+        "prose_only": F.when(c("numeric") <= 1, c("prose") / least_one(c("said"))).otherwise(0.0),
+        "background_only": flag((c("content") == 0) & (c("evidence") == 0)),
+        "huge_sparse": flag((r.area > max_area) | ((r.area > 10_000) & (c("n") / r.area < 0.02))),
+        "tiny": flag((r.area < 4) | (r.width == 1) | (r.height == 1)),
     }
-    return m.select(*ID, "min_row", "min_col", "max_row", "max_col", *[F.round(x, 6).alias(k) for k, x in out.items()])
+    counts = [c(x).cast("double").alias(y) for x, y in (("n", "material_cells"), ("content", "content_cells"), ("formulas", "formula_cells"), ("numeric", "numeric_cells"))]
+    return m.select(*found.columns, *[F.round(x, 6).alias(k) for k, x in out.items()], *counts)
 
 
-def score(measured: DataFrame, candidates: DataFrame) -> DataFrame:
-    """confidence: the weighted sum within 0 to 1; forced ranges get 0.98 at
-    least."""
-    marks = candidates.select(*ID, "forced", (F.col("method") == "native").cast("double").alias("explicit"), (F.col("method") == "named").cast("double").alias("named"))
-    total = sum((F.col(k) * w for k, w in WEIGHTS.items()), F.lit(0.0))
+def score(measured: DataFrame) -> DataFrame:
+    """confidence: the weighted sum within 0 to 1, 0.98 at least for forced
+    ranges; and the reasons for it."""
+    c = F.col
+    marked = measured.withColumn("explicit", F.array_contains("methods", "explicit-range").cast("double")).withColumn("named", F.array_contains("methods", "named-range").cast("double"))
+    total = sum((c(k) * w for k, w in WEIGHTS.items()), F.lit(0.0))
     clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), total))
-    out = measured.join(marks, ID).withColumn("confidence", F.round(F.when(F.col("forced"), F.greatest(clamped, F.lit(0.98))).otherwise(clamped), 6))
-    return out
+    reasons = F.array_compact(F.array(
+        *[F.when(c(k) >= 0.55, text) for k, text in REASONS.items()], F.when(c("prose_only") >= 0.5, "annotation-like prose dominates"), F.when(c("background_only") > 0, "style/background evidence without content"),
+        F.when(c("huge_sparse") > 0, "oversized or very sparse range"), F.when(c("forced"), "forced native range"),
+    ))
+    return marked.withColumn("confidence", F.round(F.when(c("forced"), F.greatest(clamped, F.lit(0.98))).otherwise(clamped), 6)).withColumn("reasons", reasons)
 
 
 def split(scored: DataFrame, accept: float = ACCEPT, uncertain: float = UNCERTAIN) -> DataFrame:
@@ -103,21 +137,48 @@ def split(scored: DataFrame, accept: float = ACCEPT, uncertain: float = UNCERTAI
 
 def suppress(scored: DataFrame) -> DataFrame:
     """Greedy suppression in rank order per sheet: forced, confidence, area,
-    position. A candidate falls to the first kept one that overlaps it enough;
-    two forced ranges both stay. Only candidates, a few per sheet, are grouped."""
+    position. Equal ranges become one; a candidate falls to the first kept one
+    that overlaps it enough, and lends it methods, reasons, the higher
+    confidence and metrics, and a name; two forced ranges both stay. Only
+    candidates, a few per sheet, are grouped."""
+    largest = [k for k in (*METRICS, "explicit", "named", "material_cells", "content_cells", "formula_cells", "numeric_cells") if k in scored.columns]
+
+    def fold(kept: dict, row: dict) -> None:
+        for name in ("methods", "reasons"):
+            if name in row:
+                kept[name] = [*kept[name], *[x for x in row[name] if x not in kept[name]]]
+        for name in ("confidence", "forced", *largest):
+            kept[name] = max(kept[name], row[name])
+        if "source_name" in row:
+            kept["source_name"] = kept["source_name"] or row["source_name"]
+
+    def run(table):
+        import pyarrow as pa
 
-    def run(pdf):
-        pdf = pdf.assign(area=(pdf.max_row - pdf.min_row + 1) * (pdf.max_col - pdf.min_col + 1))
-        pdf = pdf.sort_values(["forced", "confidence", "area", "min_row", "min_col", "candidate"], ascending=[False, False, False, True, True, True])
+        rows = table.to_pylist()
+        place = lambda r: tuple(r[k] for k in SIDES)
+        name = lambda r: r.get("source_name") or r["candidate"]
+        exact: dict[tuple, dict] = {}
+        for row in sorted(rows, key=lambda r: (place(r), not r["forced"], -r["confidence"], name(r))):
+            row["area"] = (row["max_row"] - row["min_row"] + 1) * (row["max_col"] - row["min_col"] + 1)
+            if place(row) in exact:
+                fold(exact[place(row)], row)
+            else:
+                exact[place(row)] = row
         kept: list[dict] = []
-        for row in pdf.to_dict("records"):
-            if not any(_absorbs(k, row) for k in kept):
+        for row in sorted(exact.values(), key=lambda r: (not r["forced"], -r["confidence"], -r["area"], place(r), name(r))):
+            over = next((k for k in kept if _absorbs(k, row)), None)
+            if over is None:
                 kept.append(row)
-        import pandas as pd
+            else:
+                fold(over, row)
+        for row in kept:
+            del row["area"]
+            if "methods" in row:
+                row["methods"] = sorted(row["methods"])
+        return pa.Table.from_pylist(kept, schema=table.schema)
 
-        return pd.DataFrame(kept, columns=pdf.columns).drop(columns="area")
-
-    return scored.groupBy(*KEYS).applyInPandas(run, scored.schema)
+    return scored.groupBy(*KEYS).applyInArrow(run, scored.schema)
 
 
 def _absorbs(kept: dict, row: dict) -> bool:
@@ -135,7 +196,9 @@ def _absorbs(kept: dict, row: dict) -> bool:
     if inside >= 0.97:
         if max(kept["area"], row["area"]) / min(kept["area"], row["area"]) <= 1.35:
             return True
-        return not row["forced"] and (not kept["forced"] or kept["area"] >= row["area"])
+        if kept["forced"]:
+            return both == row["area"]
+        return not row["forced"]
     return False
 
 
@@ -195,10 +258,19 @@ def _snapped(box, merges, max_area: int):
     return box
 
 
-def detect_tables(cells: DataFrame, extra: DataFrame | None = None, accept: float = ACCEPT, uncertain: float = UNCERTAIN) -> DataFrame:
-    """All candidates of all sheets with metrics, confidence and decision."""
-    found = candidates_from_components(cells)
+def detect_tables(cells: DataFrame, extra: DataFrame | None = None, merges: DataFrame | None = None, accept: float = ACCEPT, uncertain: float = UNCERTAIN, max_area: int = 1_000_000, gaps: tuple[int, int] = (2, 1)) -> DataFrame:
+    """The candidates of all sheets with metrics, confidence, reasons and
+    decision; forced ones are always accepted."""
+    from ..storage import stored
+
+    f = stored(features(cells), "sheet-features")
+    found = candidates_from_components(f, *gaps)
     if extra is not None:
         found = found.unionByName(extra)
-    found = found.dropDuplicates([*ID])
-    return split(suppress(score(metrics(cells, found), found)), accept, uncertain)
+    if merges is not None:
+        # a declared range may be larger than the limit of found ones
+        declared = found.where("forced")
+        found = snap_to_merges(found.where("not forced"), merges, max_area).unionByName(snap_to_merges(declared, merges, 1 << 40))
+    scored = score(metrics(f, stored(found, "found"), max_area))
+    out = split(suppress(scored), accept, uncertain)
+    return out.withColumn("decision", F.when(F.col("forced"), "accepted").otherwise(F.col("decision")))

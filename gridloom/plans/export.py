@@ -15,29 +15,27 @@ from pyspark.sql import functions as F
 from ..functions import headers
 from ..functions.text import csv_guard
 from ..functions.values import value_state
-from ..operators.aggregates import column_roles, column_stats
-from .structure import TABLE, column_headers, header_rows, row_roles, shown
+from .structure import TABLE, Structure
 
 EXCLUDED_ROWS = ("title", "header", "section_header", "spacer", "note", "footnote")  # fixed values
 MEASURES = ("measure", "formula_measure", "variance", "unknown_measure")  # fixed values
 
 
-def long_records(cells: DataFrame, title: str | None = None) -> DataFrame:
-    """One observation per data row and measure column, with the row's label,
+def long_records(s: Structure) -> DataFrame:
+    """One observation per data row and measure column, with the row's labels,
     section and what the header says. Rows, columns and cells meet by equality
-    joins on the sheet and the row or column."""
-    bands = header_rows(cells)
-    paths = column_headers(cells, bands)
-    stats = column_stats(cells)
-    roles = column_roles(stats, paths, headers.comparison(F.coalesce("path", F.array().cast("array<string>"))))
-    path = F.coalesce("path", F.array().cast("array<string>"))
-    columns = roles.join(paths, [*TABLE, "col"], "left").select(*TABLE, "col", F.col("role").alias("column_role"), path.alias("path")).where(F.col("column_role").isin(*MEASURES))
-    columns = columns.select(*TABLE, "col", "column_role", headers.joined(F.col("path")).alias("column_header"), *headers.semantics(F.col("path"), F.lit(title).cast("string")))
-    rows = row_roles(cells, bands).where(~F.col("role").isin(*EXCLUDED_ROWS)).select(*TABLE, "row", F.col("role").alias("row_role"), "section", F.col("label").alias("row_label"), "confidence")
+    joins on the sheet and the row or column. A formula's value is its stored
+    result, and its state tells when there is none."""
     c = F.col
-    out = shown(cells).join(rows, [*TABLE, "row"]).join(columns, [*TABLE, "col"])
-    state = value_state(c("kind"), c("v_str"), c("v_num"), c("formula"), F.lit(None).cast("string"))
-    return out.select(*TABLE, "row", "col", "coord", "row_role", "section", "row_label", "column_role", "column_header", "scenario", "year", "comparison_kind", "unit", "measure", c("shown").alias("value"), state.alias("value_state"), "formula", "confidence")
+    columns = s.columns.where(c("role").isin(*MEASURES)).select(*TABLE, "col", c("role").alias("column_role"), c("key").alias("column_key"), headers.joined(c("path")).alias("column_header"), c("group").alias("measure_group"), "scenario", "year", "comparison_kind", "unit", "measure", c("confidence").alias("column_confidence"))
+    rows = s.rows.where(~c("role").isin(*EXCLUDED_ROWS)).select(*TABLE, "row", c("role").alias("row_role"), "section", c("label").alias("row_label"), c("labels").alias("row_labels"), "is_total", "is_placeholder", "confidence")
+    out = s.cells.join(rows, [*TABLE, "row"]).join(columns, [*TABLE, "col"])
+    state = value_state(c("kind"), c("v_str"), c("v_num"), c("formula"), c("cache_status"))
+    value = F.when(~c("calc") | (c("cache_status") == "present"), c("shown"))
+    return out.select(
+        *TABLE, "row", "col", "coord", "row_role", "section", "row_label", "row_labels", "is_total", "is_placeholder", "column_role", "column_key", "column_header", "measure_group", "scenario", "year", "comparison_kind", "unit", "measure",
+        value.alias("value"), state.alias("value_state"), "formula", "cache_status", "number_format", "style_hash", F.round(F.least("confidence", "column_confidence"), 6).alias("confidence"),
+    )
 
 
 def values_wide(records: DataFrame, columns: list[str]) -> DataFrame:
@@ -45,11 +43,12 @@ def values_wide(records: DataFrame, columns: list[str]) -> DataFrame:
     return records.groupBy(*TABLE, "row", "row_label").pivot("column_header", columns).agg(F.first("value"))
 
 
-def csv_safe(df: DataFrame) -> DataFrame:
-    """All columns as text: nested ones as JSON, and nothing reads as a formula."""
+def csv_safe(df: DataFrame, guard: bool = True) -> DataFrame:
+    """All columns as text: nested ones as JSON, and with ``guard`` nothing
+    reads as a formula."""
     kinds = dict(df.dtypes)
     text = lambda n: F.to_json(n) if kinds[n].startswith(("array", "map", "struct")) else F.col(n).cast("string")
-    return df.select(*[csv_guard(text(n)).alias(n) for n in df.columns])
+    return df.select(*[(csv_guard(text(n)) if guard else text(n)).alias(n) for n in df.columns])
 
 
 class Bundle:
@@ -89,8 +88,8 @@ class Bundle:
         """Written by the executors, one file per task."""
         df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(self.path(relative).as_uri())
 
-    def csv(self, relative: str, df: DataFrame) -> None:
-        csv_safe(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(self.path(relative).as_uri())
+    def csv(self, relative: str, df: DataFrame, guard: bool = True) -> None:
+        csv_safe(df, guard).write.mode("overwrite").option("header", True).option("escape", '"').csv(self.path(relative).as_uri())
 
 
 def default_output(source: str, root: str = ".") -> str:

@@ -27,17 +27,24 @@ def script_json(value) -> str:
 
 def html_report(run, settings) -> str:
     """The first ``preview_rows`` rows and ``preview_columns`` columns of each
-    table; the previews are ranked and cut by the executors."""
-    rows = run.clean.groupBy("sheet", "row").agg(F.map_from_entries(F.collect_list(F.struct("label", F.coalesce("value", F.lit(""))))).alias("values"))
-    few = top_n(rows, ["sheet"], [F.col("row")], settings.preview_rows)
-    body, index = [], [r.asDict() for r in run.tables.select("sheet", "range", "table_id", "confidence", "decision").orderBy("sheet", "range").collect()]
-    by: dict[str, list] = {}
-    for r in few.orderBy("sheet", "row").toLocalIterator():
-        by.setdefault(r["sheet"], []).append(r["values"])
+    table, by values and by formulas; the previews are ranked and cut by the
+    executors."""
+    key = ["workbook", "table_id"]
+    cell = F.struct("col", "label", F.coalesce("value", F.lit("")).alias("value"), F.coalesce("formula", F.lit("")).alias("formula"))
+    rows = run.clean.groupBy(*key, "row").agg(F.slice(F.array_sort(F.collect_list(cell)), 1, settings.preview_columns).alias("cells"))
+    by: dict[tuple, list] = {}
+    for r in top_n(rows, key, [F.col("row")], settings.preview_rows).orderBy(*key, "row").toLocalIterator():
+        by.setdefault((r["workbook"], r["table_id"]), []).append(r["cells"])
+    index = [r.asDict() for r in run.tables.select("workbook", "sheet", "range", "table_id", "title", "confidence", "decision").orderBy("workbook", "sheet", "range").collect()]
+    body = []
     for t in index:
-        shown = by.get(t["table_id"], [])
-        columns = list(dict.fromkeys(c for v in shown for c in v))[: settings.preview_columns]
-        head = "".join(f"<th>{html.escape(c)}</th>" for c in columns)
-        lines = "".join("<tr>" + "".join(f"<td>{html.escape(v.get(c, ''))}</td>" for c in columns) + "</tr>" for v in shown)
-        body.append(f"<h2>{html.escape(t['sheet'])} {t['range']}</h2><table><thead><tr>{head}</tr></thead><tbody>{lines}</tbody></table>")
+        shown = by.get((t["workbook"], t["table_id"]), [])
+        head = "".join(f"<th>{html.escape(x['label'])}</th>" for x in (shown[0] if shown else []))
+        lines = "".join("<tr>" + "".join(f"<td title={_quoted(x['formula'])}>{html.escape(x['value'])}</td>" for x in r) + "</tr>" for r in shown)
+        name = " ".join(filter(None, (t["sheet"], t["range"], t["title"])))
+        body.append(f"<h2>{html.escape(name)}</h2><table><thead><tr>{head}</tr></thead><tbody>{lines}</tbody></table>")
     return PAGE.format(body="".join(body), data=script_json(index))
+
+
+def _quoted(text: str) -> str:
+    return '"' + html.escape(text, quote=True) + '"'

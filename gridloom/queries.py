@@ -7,11 +7,11 @@ construct the same.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import formulas, hashing, headers, text, values
-from .functions.geometry import Rect, column_letters, column_number
+from .functions.geometry import Rect, a1, column_letters, column_number
 from .operators import aggregates, spatial, windows
 from .plans import clean, detect, export, structure
 from .sources.grid import grid
@@ -66,7 +66,7 @@ def orders_grid(spark, sf) -> DataFrame:
 
 
 SUPPLIER = """sc AS (
-  SELECT 'wb' AS workbook, 'S' || s_nationkey % 5 AS sheet, CAST(s_suppkey // 7 + 1 AS INTEGER) AS row, CAST(s_suppkey * 5 % 17 + 1 AS INTEGER) AS col, s_suppkey, s_name, s_acctbal FROM supplier
+  SELECT 'wb' AS workbook, 'S' || s_nationkey % 5 || '_0' AS sheet, CAST(s_suppkey // 7 + 1 AS INTEGER) AS row, CAST(s_suppkey * 5 % 17 + 1 AS INTEGER) AS col, s_suppkey, s_name, s_acctbal FROM supplier
 )"""
 
 
@@ -74,22 +74,24 @@ def supplier_cells(spark, sf) -> DataFrame:
     """A sparse sheet: suppliers at positions that follow from their keys."""
     k = F.col("s_suppkey")
     return table(spark, sf, "supplier").select(
-        F.lit("wb").alias("workbook"), F.concat(F.lit("S"), (F.col("s_nationkey") % 5).cast("string")).alias("sheet"), (F.floor(k / 7) + 1).cast("int").alias("row"), (k * 5 % 17 + 1).cast("int").alias("col"), "s_suppkey", F.lit("text").alias("kind"), F.col("s_name").alias("v_str"), F.col("s_acctbal").alias("v_num"),
+        F.lit("wb").alias("workbook"), F.concat(F.lit("S"), (F.col("s_nationkey") % 5).cast("string"), F.lit("_0")).alias("sheet"), (F.floor(k / 7) + 1).cast("int").alias("row"), (k * 5 % 17 + 1).cast("int").alias("col"), "s_suppkey", F.lit("text").alias("kind"), F.col("s_name").alias("v_str"), F.col("s_acctbal").alias("v_num"),
     )
 
 
 RECTS = """pr AS (
-  SELECT 'wb' AS workbook, 'S' || p_partkey % 5 AS sheet, p_partkey AS id, CAST(p_partkey * 7 % 97 + 1 AS INTEGER) AS min_row, CAST(p_partkey * 5 % 41 + 1 AS INTEGER) AS min_col,
-         CAST(p_partkey * 7 % 97 + 1 + p_size % 6 AS INTEGER) AS max_row, CAST(p_partkey * 5 % 41 + 1 + p_size % 4 AS INTEGER) AS max_col
-  FROM part WHERE p_partkey % 20 = 0
+  SELECT 'wb' AS workbook, 'S' || p_partkey % 5 || '_' || p_partkey // 1000000 AS sheet, p_partkey AS id, CAST(p_partkey // 100 % 10000 * 100 + p_partkey * 7 % 97 + 1 AS INTEGER) AS min_row, CAST(p_partkey * 5 % 41 + 1 AS INTEGER) AS min_col,
+         CAST(p_partkey // 100 % 10000 * 100 + p_partkey * 7 % 97 + 1 + p_size % 6 AS INTEGER) AS max_row, CAST(p_partkey * 5 % 41 + 1 + p_size % 4 AS INTEGER) AS max_col
+  FROM part
 )"""
 
 
 def part_rects(spark, sf) -> DataFrame:
-    """Rectangles whose place and size follow from the parts' keys."""
+    """Rectangles whose place and size follow from the parts' keys: all parts,
+    a hundred on every hundred rows of five sheets."""
     k, s = F.col("p_partkey"), F.col("p_size")
-    r, c = k * 7 % 97 + 1, k * 5 % 41 + 1
-    return table(spark, sf, "part").where(k % 20 == 0).select(F.lit("wb").alias("workbook"), F.concat(F.lit("S"), (k % 5).cast("string")).alias("sheet"), k.alias("id"), *[x.cast("int").alias(n) for x, n in ((r, "min_row"), (c, "min_col"), (r + s % 6, "max_row"), (c + s % 4, "max_col"))])
+    r, c = F.floor(k / 100) % 10000 * 100 + k * 7 % 97 + 1, k * 5 % 41 + 1
+    sheet = F.concat(F.lit("S"), (k % 5).cast("string"), F.lit("_"), F.floor(k / 1_000_000).cast("string"))
+    return table(spark, sf, "part").select(F.lit("wb").alias("workbook"), sheet.alias("sheet"), k.alias("id"), *[x.cast("int").alias(n) for x, n in ((r, "min_row"), (c, "min_col"), (r + s % 6, "max_row"), (c + s % 4, "max_col"))])
 
 
 SPECIAL = """CASE l_linenumber + l_orderkey % 4 WHEN 1 THEN '-' WHEN 2 THEN ' N/A ' WHEN 3 THEN 'tbd' WHEN 4 THEN '#REF!' WHEN 5 THEN NULL WHEN 6 THEN 'plain' ELSE '' || l_linenumber END"""
@@ -118,6 +120,62 @@ STATE_SQL = """CASE WHEN formula IS NOT NULL AND cache_status <> 'present' THEN
   WHEN trim(v_str) LIKE '#%' THEN 'excel_error' ELSE 'text' END"""
 
 
+# Tables with groups, sections, formulas and remarks: one for each customer's
+# nation, one row for every order; three kinds of tables by nation.
+MIXED = """mo AS (
+  SELECT 'N' || c_nationkey AS sheet, c_nationkey % 3 AS g, o_orderkey AS k, row_number() OVER (PARTITION BY c_nationkey ORDER BY o_orderkey) + 1 AS row FROM orders JOIN customer ON o_custkey = c_custkey
+), mr AS (
+  SELECT *, (row - 2) % 7 = 0 AS is_section, g = 1 AND (row - 2) % 7 > 0 AS tall, (row - 2) // 7 AS block FROM mo
+), ms AS (
+  SELECT *, CASE WHEN is_section THEN 'section_header' WHEN k % 5 = 0 THEN 'total' ELSE 'data' END AS what, CASE WHEN is_section THEN 'block ' || block ELSE CASE WHEN k % 5 = 0 THEN 'Total ' ELSE 'item ' END || k END AS nm, 'BLOCK ' || block AS sect, 'group ' || block AS anchor FROM mr
+), mx AS (
+  SELECT sheet, g, k, row, 1 AS col, CASE WHEN is_section THEN 'text' WHEN g = 1 AND (row - 2) % 7 > 1 THEN 'blank' ELSE 'text' END AS kind, CASE WHEN is_section THEN upper(nm) WHEN g = 1 AND (row - 2) % 7 > 1 THEN NULL ELSE anchor END AS v_str, CAST(NULL AS DOUBLE) AS v_num, CAST(NULL AS VARCHAR) AS formula, false AS cached, tall, what, nm, sect, anchor FROM ms
+  UNION ALL SELECT sheet, g, k, row, 2, 'text', nm, NULL, NULL, false, tall, what, nm, sect, anchor FROM ms WHERE NOT is_section
+  UNION ALL SELECT sheet, g, k, row, 3, 'integer', NULL, k % 4, NULL, false, tall, what, nm, sect, anchor FROM ms WHERE NOT is_section
+  UNION ALL SELECT sheet, g, k, row, 4, CASE WHEN g = 2 OR k % 2 = 0 THEN 'integer' ELSE 'formula' END, NULL, CASE WHEN g = 2 OR k % 2 = 0 THEN k % 3 END, CASE WHEN g < 2 THEN '=C' || row || '*2' END, k % 2 = 0, tall, what, nm, sect, anchor FROM ms WHERE NOT is_section
+  UNION ALL SELECT sheet, g, k, row, 5, 'text', CASE WHEN g = 2 THEN repeat('remark ', 20) || k ELSE 'plain ' || k END, NULL, NULL, false, tall, what, nm, sect, anchor FROM ms WHERE NOT is_section AND (g <> 2 OR (row - 2) % 7 = 3 AND row < 12)
+  UNION ALL SELECT DISTINCT sheet, g, CAST(NULL AS BIGINT), CAST(1 AS BIGINT), h.col, 'text', h.name, CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), false, false, 'header', h.name, NULL, NULL FROM ms,
+    LATERAL (VALUES (1, 'Group'), (2, 'Name'), (3, 'Actual 2025'), (4, CASE WHEN g = 0 THEN 'B2026 vs PLAN 2026' ELSE 'PLAN 2026' END), (5, 'Remark')) h(col, name)
+)"""
+
+
+def mixed_tables(spark, sf) -> DataFrame:
+    """Each nation's orders as a messy table: section bands, totals, formulas
+    with and without a stored result, in some a merged group column, in some a
+    column of remarks."""
+    c = F.col
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), c("o_custkey") == c("c_custkey"))
+    row = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("o_orderkey")) + 1
+    o = o.select(F.concat(F.lit("N"), c("c_nationkey").cast("string")).alias("sheet"), (c("c_nationkey") % 3).alias("g"), c("o_orderkey").alias("k"), row.alias("row"))
+    step, block = (c("row") - 2) % 7, F.floor((c("row") - 2) / 7).cast("string")
+    band, even = step == 0, c("k") % 2 == 0
+    none = lambda kind: F.lit(None).cast(kind)
+    name = F.concat(F.when(c("k") % 5 == 0, "Total ").otherwise("item "), c("k").cast("string"))
+
+    def cell(when, col, kind, text=None, number=None, formula=None, cached=None, tall=None):
+        inner = F.struct(F.lit(col).alias("col"), kind.alias("kind"), (none("string") if text is None else text).alias("v_str"), (none("double") if number is None else number.cast("double")).alias("v_num"), (none("string") if formula is None else formula).alias("formula"), F.when(F.lit(False) if formula is None else formula.isNotNull(), F.when(F.lit(False) if cached is None else cached, "present").otherwise("missing")).otherwise("not_applicable").alias("cache_status"), (F.lit(False) if tall is None else tall).alias("tall"))
+        return F.when(when, inner)
+
+    lent, calc = (c("g") == 1) & (step > 1), c("g") < 2
+    cells = F.array_compact(F.array(
+        cell(F.lit(True), 1, F.when(~band & lent, "blank").otherwise("text"), F.when(band, F.concat(F.lit("BLOCK "), block)).when(~lent, F.concat(F.lit("group "), block)), tall=(c("g") == 1) & ~band),
+        cell(~band, 2, F.lit("text"), name), cell(~band, 3, F.lit("integer"), number=c("k") % 4),
+        cell(~band, 4, F.when(~calc | even, "integer").otherwise("formula"), number=F.when(~calc | even, c("k") % 3), formula=F.when(calc, F.concat(F.lit("=C"), c("row").cast("string"), F.lit("*2"))), cached=even),
+        cell(~band & ((c("g") != 2) | ((step == 3) & (c("row") < 12))), 5, F.lit("text"), F.when(c("g") == 2, F.concat(F.repeat(F.lit("remark "), F.lit(20)), c("k").cast("string"))).otherwise(F.concat(F.lit("plain "), c("k").cast("string")))),
+    ))
+    body = o.select("sheet", "row", "g", F.explode(cells).alias("x")).select("sheet", "row", "x.*")
+    heads = F.array(*[F.struct(F.lit(k).alias("col"), n.alias("v_str")) for k, n in ((1, F.lit("Group")), (2, F.lit("Name")), (3, F.lit("Actual 2025")), (4, F.when(c("g") == 0, "B2026 vs PLAN 2026").otherwise("PLAN 2026")), (5, F.lit("Remark")))])
+    top = o.select("sheet", "g").distinct().select("sheet", F.lit(1).alias("row"), F.explode(heads).alias("x"))
+    top = top.select("sheet", "row", "x.col", F.lit("text").alias("kind"), "x.v_str", none("double").alias("v_num"), none("string").alias("formula"), F.lit("not_applicable").alias("cache_status"), F.lit(False).alias("tall"))
+    first = F.when(c("tall"), c("row") - (c("row") - 2) % 7 + 1).cast("int")
+    place, anchor = c("row") + c("col"), F.concat(F.lit("group "), block)
+    return top.unionByName(body).select(
+        F.lit("wb").alias("workbook"), "sheet", c("row").cast("int").alias("row"), "col", a1(c("row"), c("col")).alias("coord"), "kind", "v_str", "v_num", "formula", "cache_status", (place % 5).cast("int").alias("border_edges"), F.lit(False).alias("has_fill"), (c("row") == 1).alias("bold"),
+        none("string").alias("style_hash"), first.alias("m_row"), F.when(c("tall"), 1).alias("m_col"), (first + 5).alias("m_row2"), F.when(c("tall"), 1).alias("m_col2"), *[F.when(c("tall"), anchor).alias(n) for n in ("a_said", "a_text", "a_head", "a_shown")],
+        c("tall").alias("a_full"), F.lit(False).alias("a_measure"), none("string").alias("a_formula"),
+    )
+
+
 # --- sources and scalar expressions
 
 
@@ -328,15 +386,15 @@ def overlap_pairs(spark, sf):
     return spatial.overlap_pairs(part_rects(spark, sf), "id").select("left_id", "right_id", "iou")
 
 
-@query(f"""WITH {SUPPLIER}, strong AS (SELECT * FROM sc WHERE s_suppkey % 3 = 0), weak AS (SELECT * FROM sc WHERE s_suppkey % 3 <> 0)
-SELECT s_suppkey FROM weak w WHERE EXISTS (SELECT 1 FROM strong s WHERE s.sheet = w.sheet AND abs(s.row - w.row) + abs(s.col - w.col) <= 1)""")
+@query(f"""WITH {ORDERS}, strong AS (SELECT * FROM oc WHERE (row * 3 + col) % 11 = 0), weak AS (SELECT * FROM oc WHERE (row * 3 + col) % 11 <> 0)
+SELECT sheet, row, col FROM weak w WHERE EXISTS (SELECT 1 FROM strong s WHERE s.sheet = w.sheet AND s.row = w.row AND s.col IN (w.col - 1, w.col + 1)) OR EXISTS (SELECT 1 FROM strong s WHERE s.sheet = w.sheet AND s.col = w.col AND s.row IN (w.row - 1, w.row + 1))""")
 def weak_style_adjacency(spark, sf):
-    cells = supplier_cells(spark, sf)
-    return spatial.weak_style_cells(cells.where("s_suppkey % 3 = 0"), cells.where("s_suppkey % 3 <> 0")).select("s_suppkey")
+    cells = orders_grid(spark, sf)
+    return spatial.weak_style_cells(cells.where("(row * 3 + col) % 11 = 0"), cells.where("(row * 3 + col) % 11 <> 0")).select("sheet", "row", "col")
 
 
-@query(f"""WITH {RECTS} SELECT DISTINCT sheet, CAST(r.r AS INTEGER) AS row, CAST(c.c AS INTEGER) AS col FROM pr, range(1, 200) r(r), range(1, 100) c(c)
-WHERE r.r BETWEEN min_row AND max_row AND c.c BETWEEN min_col AND max_col AND (max_row - min_row + 1) * (max_col - min_col + 1) <= 12""")
+@query(f"""WITH {RECTS}, rs AS (SELECT sheet, CAST(unnest(range(min_row, max_row + 1)) AS INTEGER) AS row, min_col, max_col FROM pr WHERE (max_row - min_row + 1) * (max_col - min_col + 1) <= 12)
+SELECT DISTINCT sheet, row, CAST(unnest(range(min_col, max_col + 1)) AS INTEGER) AS col FROM rs""")
 def bounded_materialise(spark, sf):
     return spatial.materialise(part_rects(spark, sf), 12).select("sheet", "row", "col")
 
@@ -366,23 +424,28 @@ def content_bounds(spark, sf):
     return spatial.content_bounds(orders_grid(spark, sf), F.col("kind") == "number").drop("workbook")
 
 
+NOTHING = "cached_formulas uncached_formulas merged_cells merges validated conditional comments hyperlinks in_hidden_rows in_hidden_columns".split()
+
+
 @query(f"""WITH {ORDERS} SELECT sheet, count(*) AS cells, count(*) FILTER (kind <> 'blank') AS values, 0 AS formulas, count(*) FILTER ((row + col) % 5 > 0) AS bordered, count(*) FILTER ((row + col) % 3 = 0) AS filled,
-  count(*) FILTER (kind IN ('integer', 'number')) AS numeric, max(row) AS last_row, max(col) AS last_col FROM oc GROUP BY sheet""")
+  count(*) FILTER (kind IN ('integer', 'number')) AS numeric, max(row) AS last_row, max(col) AS last_col, count(*) FILTER (kind = 'text') AS texts, 0 AS booleans, 0 AS datetimes, 0 AS errors, 0 AS blanks, count(*) FILTER (row = 1) AS bold,
+  {', '.join(f'0 AS {n}' for n in NOTHING)}, count(DISTINCT (row + col) % 2) AS styles FROM oc GROUP BY sheet""")
 def sheet_counts(spark, sf):
     return aggregates.sheet_counts(orders_grid(spark, sf)).drop("workbook")
 
 
-@query(f"""WITH {ORDERS} SELECT sheet, col, count(*) FILTER (kind = 'text') AS text, 0 AS long_text, count(*) FILTER (kind IN ('integer', 'number')) AS numeric, 0 AS formula, count(*) FILTER ((row + col) % 5 > 0) AS border
-FROM oc WHERE row > 1 GROUP BY sheet, col""")
+@query(f"""WITH {MIXED}, body AS (SELECT * FROM mx WHERE row > 1) SELECT sheet, col, count(*) FILTER (kind = 'text') AS text, count(*) FILTER (kind = 'text' AND length(v_str) >= 80) AS long_text, count(*) FILTER (kind IN ('integer', 'number')) AS numeric, count(formula) AS formula,
+  count(*) FILTER ((row + col) % 5 > 0) AS border, 0 AS validation, count(*) FILTER (col = 1 AND tall) AS vertical_merge FROM body GROUP BY sheet, col""")
 def column_stats(spark, sf):
-    return aggregates.column_stats(orders_grid(spark, sf)).drop("workbook")
+    made = structure.infer(mixed_tables(spark, sf))
+    return structure.body_counts(made.cells, made.tables).drop("workbook")
 
 
-@query(f"""WITH {ORDERS} SELECT DISTINCT sheet, col, CASE col WHEN 2 THEN 'dimension' ELSE 'measure' END AS role FROM oc""")
+@query(f"""WITH {MIXED}, s AS (SELECT sheet, col, g, count(*) FILTER (kind = 'text') AS text, count(*) FILTER (kind = 'text' AND length(v_str) >= 80) AS long_text, count(*) FILTER (kind IN ('integer', 'number')) AS numeric, count(formula) AS formula, bool_or(tall) AS tall FROM mx WHERE row > 1 GROUP BY ALL)
+SELECT sheet, col, CASE WHEN col = 1 AND tall THEN 'row_group' WHEN col <= 2 THEN 'row_label' WHEN col = 3 THEN 'measure' WHEN col = 4 AND g = 0 THEN 'variance' WHEN col = 4 AND formula > numeric THEN 'formula_measure' WHEN col = 4 THEN 'measure'
+  WHEN long_text > numeric + formula THEN 'annotation' ELSE 'dimension' END AS role FROM s""")
 def column_roles(spark, sf):
-    cells = orders_grid(spark, sf)
-    paths = structure.column_headers(cells, structure.header_rows(cells))
-    return aggregates.column_roles(aggregates.column_stats(cells), paths, headers.comparison(F.coalesce("path", F.array().cast("array<string>")))).drop("workbook")
+    return structure.infer(mixed_tables(spark, sf)).columns.select("sheet", "col", "role")
 
 
 @query(f"""WITH {NATION} SELECT sheet, row, count(*) FILTER (kind = 'integer') AS values, count(DISTINCT v_str) AS texts, count(*) FILTER ((row + col) % 5 > 0) AS bordered, arg_min(v_str, col) FILTER (kind = 'text') AS first_text FROM nc GROUP BY sheet, row""")
@@ -391,15 +454,16 @@ def row_stats(spark, sf):
     return out.select("sheet", "row", "values", F.col("texts").cast("long").alias("texts"), "bordered", "first_text")
 
 
-@query(f"""WITH {NATION} SELECT DISTINCT sheet, row, CASE WHEN row = 1 THEN NULL ELSE 'data' END AS role FROM nc WHERE row > 1""")
+@query(f"""WITH {MIXED} SELECT sheet, row, any_value(what) AS role, max(CASE WHEN what = 'section_header' THEN upper(nm) ELSE sect END) AS section FROM mx WHERE row > 1 GROUP BY sheet, row""")
 def row_roles(spark, sf):
-    cells = nation_grid(spark, sf)
-    return structure.row_roles(cells, structure.header_rows(cells)).select("sheet", "row", "role")
+    return structure.infer(mixed_tables(spark, sf)).rows.select("sheet", "row", "role", "section")
 
 
-@query(f"WITH {NATION} SELECT DISTINCT sheet, 1 AS first_header, 1 AS last_header FROM nc")
+@query(f"WITH {MIXED} SELECT DISTINCT sheet, 1 AS first_header, 1 AS last_header, 'Group' AS title, 3 AS first_period, CASE g WHEN 0 THEN 'comparison' ELSE 'plan' END AS last_scenario FROM mx")
 def header_band(spark, sf):
-    return structure.header_rows(nation_grid(spark, sf)).select("sheet", "first_header", "last_header")
+    made = structure.infer(mixed_tables(spark, sf))
+    period = made.columns.where("year is not null").groupBy("sheet").agg(F.min("col").alias("first_period"), F.max_by("scenario", "col").alias("last_scenario"))
+    return made.tables.join(period, "sheet").select("sheet", F.array_min("header_rows").alias("first_header"), F.array_max("header_rows").alias("last_header"), "title", "first_period", "last_scenario")
 
 
 @query("""SELECT o_orderkey, last_value(CASE WHEN o_orderkey % 7 = 0 THEN o_orderstatus || o_orderkey END IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS section FROM orders""")
@@ -447,8 +511,9 @@ def warning_summary(spark, sf):
     return aggregates.warning_summary(table(spark, sf, "events"), "event_type", "event_id", "props")
 
 
-@query("""WITH r AS (SELECT l_returnflag, l_orderkey, sha256(string_agg(l_linenumber || ':' || l_partkey, chr(10) ORDER BY l_linenumber, l_linenumber || ':' || l_partkey)) AS h FROM lineitem GROUP BY ALL)
-SELECT l_returnflag, sha256(string_agg(h, chr(10) ORDER BY l_orderkey)) AS digest FROM r GROUP BY l_returnflag""")
+@query("""WITH r AS (SELECT l_returnflag, l_orderkey, sha256(string_agg(l_linenumber || ':' || l_partkey, chr(10) ORDER BY l_linenumber, l_linenumber || ':' || l_partkey)) AS h FROM lineitem GROUP BY ALL),
+b AS (SELECT l_returnflag, l_orderkey // 4096 AS block, sha256(string_agg(h, chr(10) ORDER BY l_orderkey)) AS h FROM r GROUP BY ALL)
+SELECT l_returnflag, sha256(string_agg(h, chr(10) ORDER BY block)) AS digest FROM b GROUP BY l_returnflag""")
 def sheet_digest(spark, sf):
     payload = F.concat_ws(":", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"))
     return aggregates.digest(table(spark, sf, "lineitem"), payload, ["l_returnflag"], ["l_linenumber"], "l_orderkey")
@@ -459,12 +524,12 @@ def preview_topn(spark, sf):
     return windows.top_n(table(spark, sf, "orders"), ["o_orderpriority"], [F.col("o_totalprice").desc(), F.col("o_orderkey")], 120).select("o_orderpriority", "o_orderkey", "o_totalprice", "rank")
 
 
-@query("""(SELECT l_orderkey, 'raw_only' AS side FROM lineitem WHERE l_linenumber = 1 EXCEPT SELECT l_orderkey, 'raw_only' FROM lineitem WHERE l_linenumber = 3)
-UNION ALL (SELECT l_orderkey, 'both' FROM lineitem WHERE l_linenumber = 1 INTERSECT SELECT l_orderkey, 'both' FROM lineitem WHERE l_linenumber = 3)""")
+@query(f"""WITH {SPECIAL_SQL}, a AS (SELECT l_orderkey, l_linenumber, l_partkey, count(*) AS n, max(formula) AS f FROM lv WHERE formula IS NOT NULL AND l_linenumber <> 3 GROUP BY ALL),
+b AS (SELECT l_orderkey, l_linenumber, l_partkey, count(*) AS n, max(formula) AS f FROM lv WHERE formula IS NOT NULL AND l_linenumber <> 1 GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN b.n IS NULL THEN 'raw_only' WHEN a.n IS NULL THEN 'sheet_only' WHEN a.f = b.f THEN 'both' ELSE 'different' END AS side FROM a FULL JOIN b USING (l_orderkey, l_linenumber, l_partkey)""")
 def formula_reconcile(spark, sf):
-    line = table(spark, sf, "lineitem")
-    raw, sheet = (line.where(F.col("l_linenumber") == n).select("l_orderkey") for n in (1, 3))
-    return raw.subtract(sheet).withColumn("side", F.lit("raw_only")).union(raw.intersect(sheet).withColumn("side", F.lit("both")))
+    f = special_values(spark, sf).where("formula is not null").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.max("formula").alias("formula"))
+    return aggregates.reconcile(f.where("l_linenumber <> 3"), f.where("l_linenumber <> 1"), ["l_orderkey", "l_linenumber", "l_partkey"], "formula")
 
 
 # --- detection, structure, cleaning, export
@@ -473,7 +538,8 @@ def formula_reconcile(spark, sf):
 @query()
 def candidate_score(spark, sf):
     """Metrics, confidence and decision of the tables found on the grids."""
-    return detect.detect_tables(orders_grid(spark, sf).unionByName(nation_grid(spark, sf)))
+    found = detect.detect_tables(orders_grid(spark, sf).unionByName(nation_grid(spark, sf)))
+    return found.withColumns({n: F.array_join(n, "; ") for n in ("methods", "reasons")})
 
 
 @query(f"""WITH {SUPPLIER}, d AS (SELECT sheet, CAST(avg(row) * 100 AS INTEGER) % 100 / 100.0 AS confidence FROM sc GROUP BY sheet)
@@ -490,45 +556,46 @@ def suppressed_candidates(spark, sf):
 
 
 @query(f"""WITH RECURSIVE {RECTS}, c AS (SELECT * FROM pr WHERE id % 40 = 0), m AS (SELECT * FROM pr WHERE id % 40 <> 0),
-g(n, sheet, id, r1, c1, r2, c2) AS (SELECT 0, sheet, id, min_row, min_col, max_row, max_col FROM c UNION ALL
-  SELECT n + 1, g.sheet, g.id, least(g.r1, coalesce((SELECT min(m.min_row) FROM m WHERE m.sheet = g.sheet AND m.min_row <= g.r2 AND m.max_row >= g.r1 AND m.min_col <= g.c2 AND m.max_col >= g.c1), g.r1)),
-    least(g.c1, coalesce((SELECT min(m.min_col) FROM m WHERE m.sheet = g.sheet AND m.min_row <= g.r2 AND m.max_row >= g.r1 AND m.min_col <= g.c2 AND m.max_col >= g.c1), g.c1)),
-    greatest(g.r2, coalesce((SELECT max(m.max_row) FROM m WHERE m.sheet = g.sheet AND m.min_row <= g.r2 AND m.max_row >= g.r1 AND m.min_col <= g.c2 AND m.max_col >= g.c1), g.r2)),
-    greatest(g.c2, coalesce((SELECT max(m.max_col) FROM m WHERE m.sheet = g.sheet AND m.min_row <= g.r2 AND m.max_row >= g.r1 AND m.min_col <= g.c2 AND m.max_col >= g.c1), g.c2)) FROM g WHERE n < 3)
-SELECT id AS candidate, r1 AS min_row, c1 AS min_col, r2 AS max_row, c2 AS max_col FROM g WHERE n = 3""")
+g(sheet, id, r1, c1, r2, c2) AS (SELECT sheet, id, min_row, min_col, max_row, max_col FROM c UNION
+  SELECT g.sheet, g.id, min(least(g.r1, m.min_row)), min(least(g.c1, m.min_col)), max(greatest(g.r2, m.max_row)), max(greatest(g.c2, m.max_col))
+  FROM g JOIN m ON m.sheet = g.sheet AND m.min_row <= g.r2 AND m.max_row >= g.r1 AND m.min_col <= g.c2 AND m.max_col >= g.c1 GROUP BY g.sheet, g.id, g.r1, g.c1, g.r2, g.c2)
+SELECT id AS candidate, min(r1) AS min_row, min(c1) AS min_col, max(r2) AS max_row, max(c2) AS max_col FROM g GROUP BY id""")
 def snap_bounds(spark, sf):
     r = part_rects(spark, sf)
     out = detect.snap_to_merges(r.where("id % 40 = 0").withColumnRenamed("id", "candidate"), r.where("id % 40 <> 0"))
     return out.select("candidate", "min_row", "min_col", "max_row", "max_col")
 
 
-@query(f"""WITH {ORDERS}, v AS (SELECT sheet, row, arg_min(v_str, col) FILTER (kind = 'text') AS label FROM oc GROUP BY ALL)
-SELECT oc.sheet, oc.row, oc.col, v.label AS row_label, CASE oc.col WHEN 1 THEN 'o_orderkey' ELSE 'o_totalprice' END AS column_header, CASE WHEN v_num = 0 THEN 'zero' ELSE 'number' END AS value_state, 'data' AS row_role
-FROM oc JOIN v USING (sheet, row) WHERE row > 1 AND col IN (1, 3)""")
+@query(f"""WITH {MIXED}, l AS (SELECT sheet, row, any_value(mx.what) AS what, max(CASE WHEN g = 2 THEN nm ELSE 'plain ' || k END) FILTER (mx.what <> 'section_header') AS label, max(CASE WHEN mx.what = 'section_header' THEN upper(nm) ELSE sect END) AS section FROM mx WHERE row > 1 GROUP BY sheet, row)
+SELECT mx.sheet, mx.row, mx.col, l.label AS row_label, l.section, CASE WHEN col = 3 THEN 'Actual 2025' WHEN g = 0 THEN 'B2026 vs PLAN 2026' ELSE 'PLAN 2026' END AS column_header, CASE WHEN col = 3 THEN 'actual' WHEN g = 0 THEN 'comparison' ELSE 'plan' END AS scenario,
+  CASE WHEN formula IS NULL OR cached THEN CASE WHEN v_num = 0 THEN 'zero' ELSE 'number' END ELSE 'formula_cache_missing' END AS value_state, formula, CASE WHEN formula IS NULL OR cached THEN CAST(v_num AS BIGINT) END AS value, l.what AS row_role
+FROM mx JOIN l USING (sheet, row) WHERE row > 1 AND col IN (3, 4) AND l.what <> 'section_header'""")
 def long_records(spark, sf):
-    return export.long_records(orders_grid(spark, sf)).select("sheet", "row", "col", "row_label", "column_header", "value_state", "row_role")
+    out = export.long_records(structure.infer(mixed_tables(spark, sf)))
+    return out.select("sheet", "row", "col", "row_label", "section", "column_header", "scenario", "value_state", "formula", F.col("value").cast("long").alias("value"), "row_role")
 
 
 @query(f"""WITH {NATION} SELECT sheet, row, max(v_str) AS row_label, CAST(CAST(max(v_num) FILTER (col = 1) AS BIGINT) AS VARCHAR) AS n_nationkey, CAST(CAST(max(v_num) FILTER (col = 3) AS BIGINT) AS VARCHAR) AS n_regionkey FROM nc WHERE row > 1 GROUP BY sheet, row""")
 def values_wide(spark, sf):
-    return export.values_wide(export.long_records(nation_grid(spark, sf)), ["n_nationkey", "n_regionkey"]).drop("workbook")
+    return export.values_wide(export.long_records(structure.infer(nation_grid(spark, sf))), ["n_nationkey", "n_regionkey"]).drop("workbook")
 
 
-@query(f"""WITH {NATION} SELECT sheet, row, 'data' AS role, CASE col WHEN 1 THEN 'n_nationkey' WHEN 2 THEN 'n_name' ELSE 'n_regionkey' END AS label, coalesce(v_str, CAST(CAST(v_num AS BIGINT) AS VARCHAR)) AS value FROM nc WHERE row > 1""")
+@query(f"""WITH {MIXED}, l AS (SELECT sheet, row, max(CASE WHEN what = 'section_header' THEN upper(nm) ELSE sect END) AS section FROM mx WHERE row > 1 GROUP BY sheet, row),
+k AS (SELECT *, CASE WHEN formula IS NOT NULL AND NOT cached THEN formula WHEN v_num IS NOT NULL THEN CAST(CAST(v_num AS BIGINT) AS VARCHAR) ELSE v_str END AS own FROM mx WHERE row > 1 AND what <> 'section_header' AND NOT (col = 5 AND g = 2))
+SELECT k.sheet, k.row, k.col, l.section, CASE k.col WHEN 1 THEN CASE g WHEN 1 THEN 'Entity' ELSE 'Activity' END WHEN 2 THEN 'Name' WHEN 3 THEN 'Actual 2025' WHEN 4 THEN CASE WHEN g = 0 THEN 'B2026 vs PLAN 2026' ELSE 'PLAN 2026' END ELSE 'Remark' END AS label,
+  CASE WHEN col = 1 AND tall THEN coalesce(own, anchor) ELSE own END AS value, col = 1 AND tall AND own IS NULL AS inherited FROM k JOIN l USING (sheet, row)""")
 def clean_table(spark, sf):
-    return clean.clean_cells(nation_grid(spark, sf)).select("sheet", "row", "role", "label", "value")
+    return clean.clean(structure.infer(mixed_tables(spark, sf))).cells.select("sheet", "row", "col", "section", "label", "value", "inherited")
 
 
-@query(f"WITH {NATION} SELECT DISTINCT sheet, 1 AS row, 'header' AS reason FROM nc")
+@query(f"WITH {MIXED} SELECT DISTINCT sheet, row, CASE WHEN row = 1 THEN 'header' ELSE 'section' END AS reason FROM mx WHERE row = 1 OR what = 'section_header'")
 def dropped_rows(spark, sf):
-    return clean.dropped_rows(nation_grid(spark, sf)).select("sheet", "row", "reason")
+    return clean.clean(structure.infer(mixed_tables(spark, sf))).dropped_rows.select("sheet", "row", "reason")
 
 
-@query("""SELECT 'N' || n_regionkey AS sheet, 2 AS col, 'body_empty' AS reason FROM (SELECT DISTINCT n_regionkey FROM nation)""")
+@query(f"WITH {MIXED} SELECT DISTINCT sheet, col, 'annotation' AS reason FROM mx WHERE col = 5 AND g = 2")
 def dropped_columns(spark, sf):
-    n = table(spark, sf, "nation").withColumn("empty", F.lit(None).cast("double"))
-    cells = grid(n, F.concat(F.lit("N"), F.col("n_regionkey").cast("string")), ["n_nationkey"], ["n_name", "empty", "n_nationkey"])
-    return clean.dropped_columns(cells).select("sheet", "col", "reason")
+    return clean.clean(structure.infer(mixed_tables(spark, sf))).dropped_columns.select("sheet", "col", "reason")
 
 
 @query("""WITH x AS (SELECT n_nationkey, n_nationkey % 3 AS g, n_nationkey % 2 AS s, n_nationkey % 4 AS v, n_nationkey % 2 AS l, n_nationkey % 5 AS p, n_nationkey % 3 AS d FROM nation)

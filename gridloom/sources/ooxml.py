@@ -289,7 +289,7 @@ class Workbook:
         properties = child(root, "workbookPr")
         epoch = properties is not None and attr(properties, "date1904") in ("1", "true")
         calc = child(root, "calcPr")
-        yield "workbook", {"date_system": "1904" if epoch else "1900", "calculation": json.dumps(dict(calc.attrib) if calc is not None else {}, sort_keys=True), "sha256": hashlib.sha256(self.data).hexdigest(), "size": len(self.data)}
+        yield "workbook", {"date_system": "1904" if epoch else "1900", "calculation": json.dumps(dict(calc.attrib) if calc is not None else {}, sort_keys=True), "properties": json.dumps(self.properties(), sort_keys=True, ensure_ascii=False), "security": json.dumps(self.security(root), sort_keys=True), "sha256": hashlib.sha256(self.data).hexdigest(), "size": len(self.data)}
         strings = self.strings(self.part_of(main, "sharedStrings"))
         styles = Styles(tree(self.package, p) if (p := self.part_of(main, "styles")) else None)
         names, titles = set(), []
@@ -308,7 +308,7 @@ class Workbook:
                 part = self.members.get((rel["resolved"] or "").lower())
                 if part is None:
                     self.warn("sheet_part_missing", "the sheet's part is missing", title)
-            found = {"position": position, "sheet": title, "sheet_id": attr(e, "sheetId"), "state": attr(e, "state") or "visible", "part": part, "dimension": None, "n_cells": 0, "n_formulas": 0, "n_cached": 0}
+            found = {"position": position, "sheet": title, "sheet_id": attr(e, "sheetId"), "state": attr(e, "state") or "visible", "part": part, "dimension": None, "n_cells": 0, "n_formulas": 0, "n_cached": 0, "freeze": None, "auto_filter": None, "protection": None, "tab_color": None, "default_height": None, "default_width": None}
             if part:
                 yield from self.sheet(title, part, strings, styles, epoch, cells and (wanted is None or title in wanted), found)
             yield "sheet", found
@@ -316,6 +316,16 @@ class Workbook:
             scope = attr(e, "localSheetId")
             yield "name", {"name": attr(e, "name"), "scope": titles[int(scope)] if scope is not None and int(scope) < len(titles) else None, "definition": (e.text or "").strip(), "hidden": attr(e, "hidden") in ("1", "true")}
 
+    def properties(self) -> dict:
+        """Title, creator, dates and so on of the document's core properties."""
+        part = self.members.get("docprops/core.xml")
+        return {tag(e): e.text for e in tree(self.package, part) if e.text} if part else {}
+
+    @staticmethod
+    def security(root) -> dict:
+        locks = child(root, "workbookProtection")
+        return {k: locks.attrib.get(k) in ("1", "true") for k in ("lockStructure", "lockWindows", "lockRevision")} if locks is not None else {}
+
     def strings(self, part: str | None) -> list[str]:
         if not part:
             return []
@@ -323,6 +333,7 @@ class Workbook:
 
     def sheet(self, title: str, part: str, strings: list[str], styles: Styles, epoch: bool, want: bool, found: dict):
         shared: dict[str, tuple[str, int, int]] = {}
+        numbers = {"dv": 0, "cf": 0}
         row = col = 0
         hyper, seen = [], set()
         for _, e in ET.iterparse(io.BytesIO(xml_bytes(self.package, part)), ("end",)):
@@ -330,11 +341,11 @@ class Workbook:
             if kind == "dimension":
                 found["dimension"] = attr(e, "ref")
             elif kind == "col":
-                yield "dimension", {"sheet": title, "axis": "column", "first": int(attr(e, "min")), "last": int(attr(e, "max")), "size": _number(attr(e, "width")), "hidden": attr(e, "hidden") in ("1", "true"), "outline": int(attr(e, "outlineLevel") or 0)}
+                yield "dimension", {"sheet": title, "axis": "column", "first": int(attr(e, "min")), "last": int(attr(e, "max")), "size": _number(attr(e, "width")), "hidden": attr(e, "hidden") in ("1", "true"), "outline": int(attr(e, "outlineLevel") or 0), "collapsed": attr(e, "collapsed") in ("1", "true")}
             elif kind == "row":
                 if attr(e, "hidden") in ("1", "true") or attr(e, "ht") or attr(e, "outlineLevel"):
                     n = int(attr(e, "r") or row)
-                    yield "dimension", {"sheet": title, "axis": "row", "first": n, "last": n, "size": _number(attr(e, "ht")), "hidden": attr(e, "hidden") in ("1", "true"), "outline": int(attr(e, "outlineLevel") or 0)}
+                    yield "dimension", {"sheet": title, "axis": "row", "first": n, "last": n, "size": _number(attr(e, "ht")), "hidden": attr(e, "hidden") in ("1", "true"), "outline": int(attr(e, "outlineLevel") or 0), "collapsed": attr(e, "collapsed") in ("1", "true")}
                 row = max(row, int(attr(e, "r") or row + 1))
                 e.clear()
             elif kind == "c":
@@ -360,18 +371,28 @@ class Workbook:
             elif kind == "mergeCell":
                 yield from self.range(title, "merge", attr(e, "ref"), attr(e, "ref"), {}, "MERGE_RANGE_NOT_EXPANDED")
             elif kind == "dataValidation":
+                numbers["dv"] += 1
                 for one in (attr(e, "sqref") or "").split():
                     formulas = {tag(x): x.text for x in e}
-                    yield from self.range(title, "validation", attr(e, "type") or "any", one, {**e.attrib, **formulas}, "INVALID_DATA_VALIDATION_RANGE")
+                    yield from self.range(title, "validation", attr(e, "type") or "any", one, {**e.attrib, **formulas, "id": f"dv{numbers['dv']:04d}"}, "INVALID_DATA_VALIDATION_RANGE")
             elif kind == "conditionalFormatting":
                 rules = [{**r.attrib, "formulas": [x.text for x in r if tag(x) == "formula"]} for r in e if tag(r) == "cfRule"]
+                numbers["cf"] += 1
                 for one in (attr(e, "sqref") or "").split():
-                    yield from self.range(title, "conditional_format", rules[0].get("type", "") if rules else "", one, {"rules": rules}, "INVALID_CONDITIONAL_FORMAT_RANGE")
+                    yield from self.range(title, "conditional_format", rules[0].get("type", "") if rules else "", one, {"rules": rules, "id": f"cf{numbers['cf']:04d}"}, "INVALID_CONDITIONAL_FORMAT_RANGE")
+            elif kind == "sheetProtection":
+                found["protection"] = json.dumps({k: e.attrib.get(k) in ("1", "true") for k in ("sheet", "formatCells", "insertRows", "deleteRows")}, sort_keys=True)
+            elif kind == "sheetFormatPr":
+                found["default_height"], found["default_width"] = _number(attr(e, "defaultRowHeight")), _number(attr(e, "defaultColWidth"))
+            elif kind == "tabColor":
+                found["tab_color"] = attr(e, "rgb")
             elif kind == "autoFilter" and "worksheets" in part:
+                found["auto_filter"] = attr(e, "ref")
                 yield from self.range(title, "filter", "auto_filter", attr(e, "ref"), {}, "EXTRACTION_WARNING")
             elif kind == "hyperlink":
                 hyper.append(e)
             elif kind == "pane":
+                found["freeze"] = attr(e, "topLeftCell") if attr(e, "state") in ("frozen", "frozenSplit") else found["freeze"]
                 yield "range", {"sheet": title, "kind": "pane", "name": attr(e, "state") or "", "ref": attr(e, "topLeftCell") or "", "details": json.dumps(dict(e.attrib), sort_keys=True), **dict.fromkeys(("min_row", "min_col", "max_row", "max_col"))}
         own = self.rels.get(part, {})
         for e in hyper:
@@ -419,7 +440,7 @@ class Workbook:
     def cell(self, sheet, row, col, e, f, v, strings, styles: Styles, epoch, shared) -> dict:
         style = styles.cell(int(attr(e, "s") or 0))
         kind, text, number, truth, stamp = self.value(attr(e, "t") or "n", e, v, strings, style, epoch)
-        out = {"sheet": sheet, "row": row, "col": col, "coord": f"{column_letters(col)}{row}", **style, "formula": None, "cache_status": "not_applicable", "cache_kind": None, "cache_str": None, "cache_num": None, "formula_type": None}
+        out = {"sheet": sheet, "row": row, "col": col, "coord": f"{column_letters(col)}{row}", **style, "formula": None, "cache_status": "not_applicable", "cache_kind": None, "cache_str": None, "cache_num": None, "cache_bool": None, "cache_ts": None, "formula_type": None}
         if f is not None:
             formula = f.text or ""
             if attr(f, "t") == "shared":
@@ -429,7 +450,7 @@ class Workbook:
                 elif key in shared:
                     base, r, c = shared[key]
                     formula = shift(base, row - r, col - c)
-            out |= {"formula": f"={formula}", "formula_type": attr(f, "t") or "normal", "cache_status": "present" if v is not None and v.text is not None else "missing", "cache_kind": kind, "cache_str": text, "cache_num": number, "kind": "formula", "v_str": None, "v_num": None, "v_bool": None, "v_ts": None}
+            out |= {"formula": f"={formula}", "formula_type": attr(f, "t") or "normal", "cache_status": "present" if v is not None and v.text is not None else "missing", "cache_kind": kind, "cache_str": text, "cache_num": number, "cache_bool": truth, "cache_ts": stamp, "kind": "formula", "v_str": None, "v_num": None, "v_bool": None, "v_ts": None}
             return out
         return out | {"kind": kind, "v_str": text, "v_num": number, "v_bool": truth, "v_ts": stamp}
 
@@ -441,8 +462,8 @@ class Workbook:
         if raw is None:
             return "blank", None, None, None, None
         if code == "s":
-            k = int(raw)
-            return "text", strings[k] if k < len(strings) else None, None, None, None
+            k = int(raw) if raw.strip().isdigit() else -1
+            return ("text", strings[k], None, None, None) if 0 <= k < len(strings) else ("error", raw, None, None, None)
         if code == "b":
             return "boolean", None, None, raw.strip() in ("1", "true"), None
         if code == "e":
@@ -450,8 +471,14 @@ class Workbook:
         if code == "str":
             return "text", raw, None, None, None
         if code == "d":
-            return "datetime", raw, None, None, datetime.fromisoformat(raw.replace("Z", ""))
-        number = float(raw)
+            try:
+                return "datetime", raw, None, None, datetime.fromisoformat(raw.replace("Z", ""))
+            except ValueError:
+                return "error", raw, None, None, None
+        try:
+            number = float(raw)
+        except ValueError:
+            return "error", raw, None, None, None
         if is_date_format(style["number_format"]) and -657435 < number < 2958466:
             return "datetime", None, None, None, serial_date(number, epoch)
         return ("integer" if re.fullmatch(r"-?\d+", raw.strip()) else "number"), None, number, None, None
@@ -515,12 +542,12 @@ def _plain(element):
 SCHEMAS = {
     "part": "name string, content_type string, size long, compressed long, ratio double, crc long, sha256 string, part_kind string",
     "relationship": "source string, rel_id string, rel_type string, target string, external boolean, resolved string",
-    "workbook": "date_system string, calculation string, sha256 string, size long",
-    "sheet": "position int, sheet string, sheet_id string, state string, part string, dimension string, n_cells long, n_formulas long, n_cached long",
-    "cell": "sheet string, row int, col int, coord string, kind string, v_str string, v_num double, v_bool boolean, v_ts timestamp_ntz, formula string, formula_type string, cache_status string, cache_kind string, cache_str string, cache_num double, number_format string, bold boolean, italic boolean, has_fill boolean, border_edges int, style_hash string",
+    "workbook": "date_system string, calculation string, properties string, security string, sha256 string, size long",
+    "sheet": "position int, sheet string, sheet_id string, state string, part string, dimension string, n_cells long, n_formulas long, n_cached long, freeze string, auto_filter string, protection string, tab_color string, default_height double, default_width double",
+    "cell": "sheet string, row int, col int, coord string, kind string, v_str string, v_num double, v_bool boolean, v_ts timestamp_ntz, formula string, formula_type string, cache_status string, cache_kind string, cache_str string, cache_num double, cache_bool boolean, cache_ts timestamp_ntz, number_format string, bold boolean, italic boolean, has_fill boolean, border_edges int, style_hash string",
     "range": "sheet string, kind string, name string, ref string, min_row int, min_col int, max_row int, max_col int, details string",
     "name": "name string, scope string, definition string, hidden boolean",
-    "dimension": "sheet string, axis string, first int, last int, size double, hidden boolean, outline int",
+    "dimension": "sheet string, axis string, first int, last int, size double, hidden boolean, outline int, collapsed boolean",
     "drawing": "sheet string, part string, drawing_type string, name string, alt_text string, anchor string, text string",
     "warning": "code string, message string, sheet string, details string",
 }
@@ -547,7 +574,7 @@ def from_files(files: DataFrame, kind: str, limits: Limits, sheets: list[str] |
                 rows = []
                 for what, record in Workbook(path, data.as_py(), limits).records(kind == "cell", wanted):
                     if what == kind:
-                        rows.append({"workbook": path.rpartition("/")[2], **record})
+                        rows.append({"workbook": path, **record})
                     if len(rows) >= 20_000:
                         yield flush(rows)
                         rows = []
@@ -557,10 +584,54 @@ def from_files(files: DataFrame, kind: str, limits: Limits, sheets: list[str] |
     return files.select("path", "content").mapInArrow(run, schema)
 
 
+def _files(spark: SparkSession, path: str, limits: Limits) -> DataFrame:
+    """path and content of the files. Sizes are checked before any is loaded."""
+    files = spark.read.format("binaryFile").load(path)
+    large = files.where(F.col("length") > limits.max_file_bytes).select("path").first()
+    if large:
+        raise PackageSecurityError(f"the file is too large: {large['path']}")
+    return files
+
+
 def read(spark: SparkSession, path: str, kind: str, limits: Limits | None = None, sheets: list[str] | None = None) -> DataFrame:
     """Records of one kind of all workbooks under ``path``."""
-    files = spark.read.format("binaryFile").load(path)
-    return from_files(files, kind, limits or Limits(), sheets)
+    limits = limits or Limits()
+    return from_files(_files(spark, path, limits), kind, limits, sheets)
+
+
+def scan(spark: SparkSession, path: str, limits: Limits | None = None, sheets: list[str] | None = None) -> dict[str, DataFrame]:
+    """Records of all kinds: each workbook is parsed once, into a written table
+    with one struct column for each kind."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    from ..storage import stored
+
+    limits = limits or Limits()
+    schema = _parse_datatype_string("workbook string, what string, " + ", ".join(f"`{k}` struct<{v.replace(' ', ':').replace(',:', ', ')}>" for k, v in SCHEMAS.items()))
+    arrow = to_arrow_schema(schema)
+    wanted = set(sheets) if sheets is not None else None
+
+    def flush(book, rows):
+        columns = [pa.array([book] * len(rows)), pa.array([what for what, _ in rows])]
+        columns += [pa.array([r if what == f.name else None for what, r in rows], f.type) for f in list(arrow)[2:]]
+        return pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    def run(batches):
+        for batch in batches:
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                rows = []
+                for record in Workbook(path, data.as_py(), limits).records(True, wanted):
+                    rows.append(record)
+                    if len(rows) >= 10_000:
+                        yield flush(path, rows)
+                        rows = []
+                if rows:
+                    yield flush(path, rows)
+
+    table = stored(_files(spark, path, limits).select("path", "content").mapInArrow(run, schema), "scan")
+    return {k: table.where(F.col("what") == k).select("workbook", f"{k}.*") for k in SCHEMAS}
 
 
 def read_cells(spark: SparkSession, path: str, sheets: list[str] | None = None, limits: Limits | None = None) -> DataFrame:
@@ -576,13 +647,24 @@ def read_sheets(spark: SparkSession, path: str, limits: Limits | None = None) ->
 
 
 def read_names(spark: SparkSession, path: str, limits: Limits | None = None) -> DataFrame:
+    return named(read(spark, path, "name", limits))
+
+
+def named(n: DataFrame) -> DataFrame:
     """Defined names with their status; static ones have a destination."""
     from ..functions.formulas import name_status
     from ..functions.geometry import Rect
 
-    n = read(spark, path, "name", limits)
     r = Rect.parse(F.col("definition"))
     first = name_status(F.col("definition"))
     static = F.col("definition").contains("!") & r.r1.isNotNull()
     built_in = F.col("name").startswith("_xlnm.")
     return n.select("*", F.when((first == "raw") & F.coalesce(static, F.lit(False)), "static").otherwise(first).alias("status"), built_in.alias("built_in"), *r.columns())
+
+
+def name_warnings(names: DataFrame) -> DataFrame:
+    """Warnings for names that refer to nothing."""
+    c = F.col
+    details = F.to_json(F.struct("definition", "name", F.coalesce("scope", F.lit("workbook")).alias("scope"), "status"))
+    message = F.concat(F.lit("Defined name '"), c("name"), F.lit("' contains a broken reference"))
+    return names.where("status = 'broken'").select("workbook", F.lit("DEFINED_NAME_BROKEN_REFERENCE").alias("code"), message.alias("message"), c("scope").alias("sheet"), details.alias("details"))
