@@ -190,7 +190,8 @@ def linked(cells: DataFrame, horizontal, vertical, together: Column | None = Non
     edges = edges.where("row <> row2 or run <> run2").distinct()
     runs = marked.select(*KEYS, "row", "run").distinct()
     names = [f"e_{k}" for k in KEYS]
-    edges = edges.select(*[c(k).alias(n) for k, n in zip(KEYS, names, strict=True)], "row", "run", "row2", "run2")
+    ends = ("row", "run", "row2", "run2")
+    edges = edges.select(*[c(k).alias(n) for k, n in zip((*KEYS, *ends), (*names, *[f"e_{n}" for n in ends]), strict=True)])
 
     def solve(key, own, links):
         import pyarrow as pa
@@ -204,14 +205,15 @@ def linked(cells: DataFrame, horizontal, vertical, together: Column | None = Non
                 x = root[x]
             return x
 
-        for r, k, r2, k2 in zip(*(links.column(n).to_pylist() for n in ("row", "run", "row2", "run2")), strict=True):
+        for r, k, r2, k2 in zip(*(links.column(f"e_{n}").to_pylist() for n in ends), strict=True):
             a, b = find((r, k)), find((r2, k2))
             root[max(a, b)] = min(a, b)
         names = ["{}:{}".format(*find(n)) for n in nodes]
         return own.append_column("component", pa.array(names, pa.string()))
 
     schema = runs.schema.simpleString()[7:-1].replace(":", " ") + ", component string"
-    found = runs.groupBy(*KEYS).cogroup(edges.groupBy(*names)).applyInArrow(solve, schema)
+    runs = runs.select(*[c(n).alias(f"r_{n}") for n in runs.columns])
+    found = runs.toDF(*[n[2:] for n in runs.columns]).groupBy(*KEYS).cogroup(edges.groupBy(*names)).applyInArrow(solve, schema)
     return marked.join(found, [*KEYS, "row", "run"]).drop("run")
 
 

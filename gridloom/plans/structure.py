@@ -381,14 +381,17 @@ def fingerprints(s: Structure) -> DataFrame:
     order = lambda p: F.transform(F.array_sort(F.collect_list(F.when(p.isNotNull(), F.struct("row", "col", p.alias("p"))))), lambda x: F.concat_ws("|", x["p"]))
     here = rel(c("row"), c("col"))
     per_row = at.groupBy(*TABLE, "row").agg(*[F.sha2(F.array_join(order(p), "\n"), 256).alias(n) for n, p in (("merge", shape), ("style", F.when(c("style_hash").isNotNull(), F.concat_ws(":", here, c("style_hash")))), ("formula", F.when(c("calc"), F.concat_ws(":", here, translated_udf("formula", "row", "col")))))])
-    whole = per_row.groupBy(*TABLE).agg(*[F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", n))), lambda x, n=n: x[n]), "\n"), 256).alias(n) for n in ("merge", "style", "formula")])
+    whole = per_row.groupBy(*TABLE).agg(*[F.sha2(F.array_join(F.array_sort(F.collect_list(F.struct("row", n)))[n], "\n"), 256).alias(n) for n in ("merge", "style", "formula")])
     spans = s.sections.groupBy(*TABLE).agg(F.array_sort(F.collect_list(F.struct("start_row", "end_row", fold(c("title")).alias("t")))).alias("sp"))
     grouped = s.groups.groupBy(*TABLE).agg(F.array_sort(F.collect_list(F.struct("min_col", "max_col", fold(c("label")).alias("t")))).alias("gp"))
     t = s.tables
     for one in (cols, lines, whole, spans, grouped):
         t = t.join(one, TABLE, "left")
     schema = F.sha2(F.concat_ws("\n", fold(c("title")), F.array_join(c("x")["j"], "\n"), F.array_join(c("r")["j"], "\n")), 256)
-    spans_, groups_ = (F.transform(n, lambda x, b=b, k=k: F.concat_ws(",", (x[k[0]] - c(b)).cast("string"), (x[k[1]] - c(b)).cast("string"), x["t"])) for n, b, k in (("sp", "t_row", ("start_row", "end_row")), ("gp", "t_col", ("min_col", "max_col"))))
+    def placed(name: str, base: str, low: str, high: str) -> Column:
+        return F.transform(name, lambda x: F.concat_ws(",", (x[low] - c(base)).cast("string"), (x[high] - c(base)).cast("string"), x["t"]))
+
+    spans_, groups_ = placed("sp", "t_row", "start_row", "end_row"), placed("gp", "t_col", "min_col", "max_col")
     layout = F.sha2(F.concat_ws("\n", (c("t_col2") - c("t_col")).cast("string"), (c("t_row2") - c("t_row")).cast("string"), F.transform("header_rows", lambda r: (r - c("t_row")).cast("string")), c("merge"), spans_, groups_), 256)
     out = t.select(*TABLE, fold(c("title")).alias("fold"), schema.alias("schema"), layout.alias("layout"), "formula", "style", F.sha2(F.array_join(c("m")["j"], "\n"), 256).alias("semantics"))
     return out.select(*TABLE, F.concat(F.lit("table-"), F.substring(hashing.stable_hash(title=c("fold"), schema=c("schema")), 1, 16)).alias("table_key"), "schema", "layout", "formula", "style", "semantics")

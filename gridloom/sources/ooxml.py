@@ -609,13 +609,13 @@ def scan(spark: SparkSession, path: str, limits: Limits | None = None, sheets: l
     from ..storage import stored
 
     limits = limits or Limits()
-    schema = _parse_datatype_string("workbook string, what string, " + ", ".join(f"`{k}` struct<{v.replace(' ', ':').replace(',:', ', ')}>" for k, v in SCHEMAS.items()))
+    schema = _parse_datatype_string("workbook string, what string, " + ", ".join(f"of_{k} struct<{v.replace(' ', ':').replace(',:', ', ')}>" for k, v in SCHEMAS.items()))
     arrow = to_arrow_schema(schema)
     wanted = set(sheets) if sheets is not None else None
 
     def flush(book, rows):
         columns = [pa.array([book] * len(rows)), pa.array([what for what, _ in rows])]
-        columns += [pa.array([r if what == f.name else None for what, r in rows], f.type) for f in list(arrow)[2:]]
+        columns += [pa.array([r if f"of_{what}" == f.name else None for what, r in rows], f.type) for f in list(arrow)[2:]]
         return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     def run(batches):
@@ -631,7 +631,7 @@ def scan(spark: SparkSession, path: str, limits: Limits | None = None, sheets: l
                     yield flush(path, rows)
 
     table = stored(_files(spark, path, limits).select("path", "content").mapInArrow(run, schema), "scan")
-    return {k: table.where(F.col("what") == k).select("workbook", f"{k}.*") for k in SCHEMAS}
+    return {k: table.where(F.col("what") == k).select("workbook", f"of_{k}.*") for k in SCHEMAS}
 
 
 def read_cells(spark: SparkSession, path: str, sheets: list[str] | None = None, limits: Limits | None = None) -> DataFrame:

@@ -140,3 +140,112 @@ def test_stream_of_workbooks(spark, book, tmp_path):
     q = arriving_cells(spark, str(tmp_path / "in")).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).where(F.col("sheet") == "Calc").count() == 3
+
+
+def banded_book():
+    """Two-level headers with merges, section bands, formulas without results,
+    a merged row group, and a remark beside a table."""
+    heads = ["KPI", "Actual 2025", "F3 2026", "PLAN 2026", "B 2027", "B2027 vs F3 2026", "B2027 vs PLAN 2026"]
+    cells = {(1, 2): "Copy table below to PowerPoint", (3, 2): "SERVICE KPIs EVOLUTION", (3, 7): "Δ", (5, 2): "QUALITY OF SERVICE", (9, 2): "COST OF SERVICE"}
+    cells |= {(4, 2 + k): h for k, h in enumerate(heads)}
+    body = [("Rate (%)", 0.6, 0.7, ("=D6-C6", None), 0.72, ("=F6-D6", 0.02), ("=F6-E6", None)), ("Index", 139, ("=Calc!B2", 145), 150, 155, ("=F7-D7", 10), None), ("Ratio", 0.3, "-", "ns", 0.4, None, None)]
+    cells |= {(6 + r, 2 + k): v for r, row in enumerate(body) for k, v in enumerate(row)}
+    cells |= {(10, 2 + k): v for k, v in enumerate(("Cost (M€)", -10.5, 0, -8.6, -9.2, ("=F10-D10", 1), ("=F10-E10", 2)))}
+    cells |= {(11, 2 + k): v for k, v in enumerate(("TOTAL COST", *[(f"={x}10", None) for x in "CDEFGH"]))}
+    cells |= {(14, 2): "Note: results of formulas are left out on purpose."}
+    for r in range(3, 12):
+        for k in range(2, 9):
+            cells.setdefault((r, k), None)
+    styles = {k: 2 if k[0] in (3, 4, 5, 9) else 1 for k in cells if 3 <= k[0] <= 11}
+    first = {"cells": cells, "styles": styles, "merges": ["B3:F3", "G3:H3", "B5:H5", "B9:H9"], "after": '<dataValidations><dataValidation type="decimal" sqref="C6:F6"/></dataValidations><conditionalFormatting sqref="C6:F6"><cfRule type="cellIs" priority="1"><formula>0</formula></cfRule></conditionalFormatting>', "before": '<cols><col min="4" max="4" hidden="1" width="9"/></cols>'}
+    grid = {(3, 2): "BUY & SHARE", (3, 4): "OPEX (M€)", (3, 6): "FTE Average", (5, 2): "BUSINESS OUTSOURCING", (4, 9): "Please ensure details correspond to totals"}
+    grid |= {(4, 4 + k): h for k, h in enumerate(["2025", "PLAN 2026"] * 2)}
+    for r, label in enumerate(["GRANTING", "SERVICE", "TOTAL"], 5):
+        grid |= {(r, 3): label, **{(r, k): (r - 4) * k for k in range(4, 8)}}
+    for r in range(3, 8):
+        for k in range(2, 8):
+            grid.setdefault((r, k), None)
+    second = {"cells": grid, "styles": {k: 2 if k[0] < 5 else 1 for k in grid if k[1] < 9}, "merges": ["B3:C3", "D3:E3", "F3:G3", "B5:B7"]}
+    return workbook_bytes({"Quality": first, "Matrix": second, "Calc": {"cells": {(2, 2): 145}, "state": "hidden"}}, {"Input": "Quality!$C$6:$F$10", "Broken": "Calc!#REF!"})
+
+
+@pytest.fixture(scope="module")
+def banded(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("banded") / "banded.xlsx"
+    path.write_bytes(banded_book())
+    return extract(spark, str(path), ["Quality", "Matrix"])
+
+
+def test_bands_headers_and_titles(banded):
+    tables = {r.range: r for r in banded.tables.where("decision = 'accepted'").collect()}
+    quality, matrix = tables["B3:H11"], tables["B3:G7"]
+    assert (quality.title, quality.header_rows, quality.layout_kind) == ("SERVICE KPIs EVOLUTION", [3, 4], "compound_matrix")
+    assert (matrix.title, matrix.header_rows, matrix.layout_kind) == ("BUY & SHARE", [3, 4], "horizontal_compound_matrix")
+    columns = {(r.table_id, r.letter): r for r in banded.columns.collect()}
+    of = lambda t, letter: columns[t.table_id, letter]
+    assert of(quality, "C").path == ["SERVICE KPIs EVOLUTION", "Actual 2025"] and of(quality, "C").role == "measure" and of(quality, "B").role == "row_label"
+    assert (of(quality, "G").role, of(quality, "G").comparison_kind, of(quality, "G").path) == ("variance", "variance", ["Δ", "B2027 vs F3 2026"])
+    assert (of(matrix, "B").role, of(matrix, "D").path, of(matrix, "D").unit, of(matrix, "F").unit) == ("row_group", ["OPEX (M€)", "2025"], "M€", "FTE")
+    assert sorted((r.label, r.min_col, r.max_col) for r in banded.groups.where(F.col("table_id") == matrix.table_id).collect()) == [("FTE Average", 6, 7), ("OPEX (M€)", 4, 5)]
+    sections = [(r.title, r.range) for r in banded.sections.where(F.col("table_id") == quality.table_id).orderBy("start_row").collect()]
+    assert sections == [("QUALITY OF SERVICE", "B5:H8"), ("COST OF SERVICE", "B9:H11")]
+    assert len({r.table_key for r in banded.tables.collect()}) == banded.tables.count()
+
+
+def test_records_tell_missing_results_from_values(banded):
+    got = {r.coord: r for r in banded.long.where("sheet = 'Quality'").collect()}
+    assert (got["G6"].value, got["G6"].value_state, got["G6"].formula) == ("0.02", "number", "=F6-D6")
+    assert (got["E6"].value, got["E6"].value_state) == (None, "formula_cache_missing")
+    assert (got["D7"].value, got["D7"].value_state, got["D10"].value_state) == ("145", "number", "zero")
+    assert (got["E8"].value_state, got["D8"].value_state, got["H7"].value_state) == ("ns", "dash", "blank")
+    assert (got["C6"].section, got["C10"].section, got["C11"].is_total, got["C6"].scenario, got["C6"].year) == ("QUALITY OF SERVICE", "COST OF SERVICE", True, "actual", 2025)
+    group = {r.row: r.row_labels for r in banded.long.where("sheet = 'Matrix'").collect()}
+    assert group == {5: ["BUSINESS OUTSOURCING", "GRANTING"], 6: ["BUSINESS OUTSOURCING", "SERVICE"], 7: ["BUSINESS OUTSOURCING", "TOTAL"]}
+
+
+def test_clean_view(banded):
+    tables = {r.sheet: r for r in banded.clean_tables.where("source_range in ('B3:H11', 'B3:G7')").collect()}
+    quality, matrix = tables["Quality"], tables["Matrix"]
+    assert (quality.status, quality.title, quality.rows, quality.columns, quality.dropped_rows, quality.formula_cells) == ("ready", "SERVICE KPIs EVOLUTION", 5, 7, 4, 13)
+    labels = [r.label for r in banded.clean_columns.where(F.col("table_id") == quality.table_id).orderBy("col").collect()]
+    assert labels[:3] == ["KPI", "Actual 2025", "F3 2026"] and labels[5] == "Δ | B2027 vs F3 2026"
+    assert matrix.inherited_cells == 2 and matrix.title == "BUY & SHARE"
+    lent = {r.coord: (r.value, r.source_coord) for r in banded.clean.where("inherited").collect()}
+    assert lent == {"B6": ("BUSINESS OUTSOURCING", "B5"), "B7": ("BUSINESS OUTSOURCING", "B5")}
+    reasons = sorted((r.row, r.reason) for r in banded.dropped_rows.where(F.col("table_id") == quality.table_id).collect())
+    assert reasons == [(3, "header"), (4, "header"), (5, "section"), (9, "section")]
+    keys = [r.key for r in banded.clean_columns.where(F.col("table_id") == matrix.table_id).orderBy("col").collect()]
+    assert keys == ["entity", "metric", "opex_m_2025", "opex_m_plan_2026", "fte_average_2025", "fte_average_plan_2026"]
+
+
+def test_snapshots_and_blocks(banded):
+    cells = {(r.sheet, r.coord): r for r in banded.cells.collect()}
+    c6, d3 = cells["Quality", "C6"], cells["Quality", "D3"]
+    assert (c6.validations, c6.conditional_formats, c6.column_hidden) == (["dv0001"], ["cf0001"], False) and cells["Quality", "D6"].column_hidden
+    assert (d3.m_row, d3.m_col, d3.a_said) == (3, 2, "SERVICE KPIs EVOLUTION")
+    blocks = {r.range: r for r in banded.annotations.collect()}
+    assert blocks["I4"].kind == "instruction" and blocks["I4"].table_id and blocks["B14"].kind == "note" and "B1" in blocks
+    codes = {r.code for r in banded.warnings.collect()}
+    assert {"DEFINED_NAME_BROKEN_REFERENCE", "DEPENDENCY_SHEET_NOT_SELECTED", "FORMULA_CACHE_MISSING"} <= codes
+    counts = {r.sheet: r for r in banded.counts.collect()}["Quality"]
+    assert (counts.formulas, counts.merges, counts.validated, counts.cached_formulas) == (13, 4, 4, 5)
+
+
+def test_selectors_must_match(spark, book):
+    from gridloom.selection import SelectionError
+
+    for bad in ({"sheets": ["Nowhere"]}, {"globs": ["Zz*"]}, {"indexes": "1-9"}):
+        with pytest.raises(SelectionError):
+            extract(spark, book, **bad)
+
+
+def test_cached_booleans_and_dates(spark, tmp_path):
+    from gridloom.api import effective_cells
+
+    data = workbook_bytes({"S": {"cells": {(1, 1): ("=A2>1", 1), (1, 2): ("=TODAY()", 45000), (1, 3): 5}, "styles": {(1, 2): 3}}})
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        files = [(n, z.read(n).replace(b'<c r="A1" s="0">', b'<c r="A1" s="0" t="b">').replace(b"<v>5</v>", b"<v>five</v>")) for n in z.namelist()]
+    (tmp_path / "c.xlsx").write_bytes(zipped(files))
+    got = {r.coord: r for r in effective_cells(ooxml.read_cells(spark, str(tmp_path / "c.xlsx"))).collect()}
+    assert (got["A1"].kind, got["A1"].v_bool, got["B1"].kind, str(got["B1"].v_ts)[:10], got["C1"].kind) == ("boolean", True, "datetime", "2023-03-15", "error")
+    assert {r.kind for r in effective_cells(ooxml.read_cells(spark, str(tmp_path / "c.xlsx")), cached=False).where("formula is not null").collect()} == {"formula"}
