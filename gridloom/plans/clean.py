@@ -94,8 +94,9 @@ def header_title(cells: DataFrame, bands: DataFrame) -> DataFrame:
     the first by row, then by column."""
     c = F.col
     heads = cells.join(bands, TABLE).where(F.array_contains("header_rows", c("row")) & (c("h_head") != ""))
-    one = heads.withColumn("t", headers.usable_title(c("h_head"))).where(c("t").isNotNull() & ~folded(c("t")).isin(*headers.GENERIC_TITLES))
-    first = one.groupBy(*TABLE, F.when(c("full"), c("row")).otherwise(c("src_row")).alias("sr"), F.when(c("full"), c("col")).otherwise(c("src_col")).alias("sc")).agg(F.min(F.struct("row", "col", (F.coalesce(c("m_col"), c("col")) - F.coalesce(c("m_col2"), c("col"))).alias("w"), "t")).alias("x"))
+    # one text for each source; the patterns then run on these few only
+    first = heads.groupBy(*TABLE, F.when(c("full"), c("row")).otherwise(c("src_row")).alias("sr"), F.when(c("full"), c("col")).otherwise(c("src_col")).alias("sc")).agg(F.min(F.struct("row", "col", (F.coalesce(c("m_col"), c("col")) - F.coalesce(c("m_col2"), c("col"))).alias("w"), c("h_head").alias("t"))).alias("x"))
+    first = first.where(headers.usable_title(c("x.t")).isNotNull() & ~folded(c("x.t")).isin(*headers.GENERIC_TITLES))
     letters, upper = F.regexp_replace("x.t", r"\P{L}", ""), F.regexp_replace("x.t", r"\P{Lu}", "")
     loud = F.try_divide(F.char_length(upper), F.char_length(letters)) >= 0.65
     words = F.size(F.regexp_extract_all("x.t", F.lit("([A-Za-z]+)"), 1))
@@ -120,7 +121,7 @@ def clean(s: Structure, names: DataFrame | None = None) -> Clean:
     """The clean form of all tables. ``names`` (TABLE, source_name) may give a
     title where the structure has none."""
     c = F.col
-    cells = stored(resolved(s.cells), "resolved")
+    cells = resolved(s.cells)
     view = stored(_row_view(cells), "row-view")
     bands = stored(header_rows(s, view), "clean-bands")
     t = s.tables.drop("header_rows").join(bands, TABLE)

@@ -165,10 +165,15 @@ def suppress(scored: DataFrame) -> DataFrame:
                 fold(exact[place(row)], row)
             else:
                 exact[place(row)] = row
+        # kept ones by bands of rows and columns, so that only near ones are compared
         kept: list[dict] = []
+        bands: dict[tuple, list[int]] = {}
         for row in sorted(exact.values(), key=lambda r: (not r["forced"], -r["confidence"], -r["area"], place(r), name(r))):
-            over = next((k for k in kept if _absorbs(k, row)), None)
+            touched = [(a, b) for a in range(row["min_row"] // 256, row["max_row"] // 256 + 1) for b in range(row["min_col"] // 64, row["max_col"] // 64 + 1)]
+            over = next((kept[k] for k in sorted({k for t in touched for k in bands.get(t, ())}) if _absorbs(kept[k], row)), None)
             if over is None:
+                for t in touched:
+                    bands.setdefault(t, []).append(len(kept))
                 kept.append(row)
             else:
                 fold(over, row)
