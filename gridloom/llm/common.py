@@ -33,7 +33,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: lineage ends there, and a lost
     executor costs a reread instead of a recomputation."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
