@@ -39,20 +39,27 @@ def leaf_paths(schema: T.DataType, prefix: str = "") -> list[str]:
     return [prefix]
 
 
-def _holds(name: str):
-    return lambda x: x[name].isNotNull()
+def _present(value: Column, schema: T.DataType, prefix: str) -> list[Column]:
+    """For each leaf its path where it holds a value, else null. Inside of an
+    array a leaf is present if any element holds it, at any depth."""
+    return [F.when(held(value), F.lit(path)) for path, held in zip(leaf_paths(schema, prefix), _tests(schema), strict=True)]
 
 
-def _present(value: Column, schema: T.DataType, prefix: str) -> list[Column]:
-    """For each leaf its path where it holds a value, else null."""
+def _tests(schema: T.DataType) -> list:
+    """For each leaf, in the order of leaf_paths, whether a value holds it."""
     if isinstance(schema, T.StructType):
-        return [x for f in schema for x in _present(value[f.name], f.dataType, f"{prefix}.{f.name}" if prefix else f.name)]
+        return [_in_field(f.name, held) for f in schema for held in _tests(f.dataType)]
     if isinstance(schema, T.ArrayType):
-        inner = schema.elementType
-        if isinstance(inner, T.StructType):
-            return [F.when(F.exists(value, _holds(f.name)), F.lit(f"{prefix}[].{f.name}")) for f in inner]
-        return [F.when(F.exists(value, lambda x: x.isNotNull()), F.lit(f"{prefix}[]"))]
-    return [F.when(value.isNotNull(), F.lit(prefix))]
+        return [_in_array(held) for held in _tests(schema.elementType)]
+    return [lambda value: value.isNotNull()]
+
+
+def _in_field(name: str, held):
+    return lambda value: held(value[name])
+
+
+def _in_array(held):
+    return lambda value: F.coalesce(F.exists(value, lambda x: held(x)), F.lit(False))
 
 
 def fingerprint(record: Column, schema: T.StructType) -> Column:

@@ -255,7 +255,7 @@ def test_lm_adapts_every_block():
     doc = rng.integers(97, 105, 6000).astype(np.uint8)
     code = L.Code(np.bincount(doc, minlength=256))
     mixer = L.Mixer(rng.integers(-60, 60, (L.PREDICTORS, 1 << 16)).astype(np.int8), 16, code)
-    steps = L.Steps([(0, np.concatenate((np.zeros(L.PAD, np.uint8), doc)))], code)
+    steps = L.Steps([(0, np.concatenate((np.zeros(L.PAD, np.uint8), doc)), L.PAD)], code)
     x, gate = mixer.inputs(steps)
     weights, want = mixer.weights.astype(float).copy(), 0.0
     for lo in range(0, len(gate), L.BLOCK):
@@ -269,6 +269,37 @@ def test_lm_adapts_every_block():
     assert abs(mixer.byte_nats([doc])[0].sum() / want - 1) < 1e-4
 
 
+def test_lm_pieces_carry_contexts_and_weights(monkeypatch):
+    """A text over a piece has the same inputs as in one piece, and its cost is
+    that of a plain loop whose blocks also end with the pieces."""
+    from gridloom.llm import lm_scoring as L
+
+    rng = np.random.default_rng(10)
+    words = [bytes(rng.integers(97, 105, int(rng.integers(1, 40))).astype(np.uint8)) for _ in range(400)] + [b"y" * 700, b"z"]
+    doc = L.coded_bytes(words)
+    code = L.Code(np.bincount(doc, minlength=256))
+    mixer = L.Mixer(rng.integers(-60, 60, (L.PREDICTORS, 1 << 16)).astype(np.int8), 16, code)
+    whole = L.Steps(next(iter(L.Pieces([doc]))), code)
+    x, gate = mixer.inputs(whole)
+    monkeypatch.setattr(L, "PIECE", 1000)
+    parts = list(L.Pieces([doc]))
+    assert len(parts) > 8
+    steps = [L.Steps(p, code) for p in parts]
+    assert np.array_equal(np.concatenate([mixer.inputs(s)[0] for s in steps]), x)
+    weights, want, at = mixer.weights.astype(float).copy(), 0.0, 0
+    for s in steps:
+        for lo in range(0, len(s.bit), L.BLOCK):
+            a, g, bit = x[at + lo : at + min(lo + L.BLOCK, len(s.bit))], gate[at + lo : at + min(lo + L.BLOCK, len(s.bit))], s.bit[lo : lo + L.BLOCK].astype(float)
+            z = (a * weights[g]).sum(axis=1)
+            want += np.logaddexp(0, np.where(bit > 0, -z, z)).sum()
+            if lo + L.BLOCK < len(s.bit):
+                for one in np.unique(g):
+                    own = g == one
+                    weights[one] += L.RATE * ((bit - 1 / (1 + np.exp(-z)))[own, None] * a[own]).sum(axis=0) / np.sqrt(own.sum() + 1)
+        at += len(s.bit)
+    assert abs(mixer.byte_nats([doc])[0].sum() / want - 1) < 1e-4
+
+
 # --- 5: URL filters
 
 
@@ -660,9 +691,12 @@ def test_chat_layouts(spark):
     raw = spark.read.json(spark.sparkContext.parallelize(lines))
     from pyspark.sql import functions as F
 
+    deep = spark.read.json(spark.sparkContext.parallelize(['{"messages":[{"role":"user","content":[{"text":"a"}]}]}', '{"messages":[{"role":"user","content":[{"text":null}]}]}', '{"messages":[{"role":"user","content":[]}]}']))
+    marks = [r["m"] for r in deep.select(chat.fingerprint(F.struct("*"), deep.schema).alias("m")).collect()]
+    assert marks == [chat.fingerprint_of(p) for p in (["messages[].role", "messages[].content[].text"], ["messages[].role"], ["messages[].role"])]
     got = [(r["layout"], [tuple(t) for t in r["turns"]] if r["turns"] is not None else None) for r in chat.canonical_turns(raw.select(F.struct("*").alias("record"))).collect()]
     assert got == [
-        ("messages", [("user", "a"), ("assistant", None)]), ("messages", None) if got[1][1] is None else ("messages", []), ("prompt", [("system", "s"), ("user", "p"), ("assistant", "c")]), ("instruction", [("user", "i"), ("assistant", "o")]),
+        ("messages", [("user", "a"), ("assistant", None)]), ("messages", []), ("prompt", [("system", "s"), ("user", "p"), ("assistant", "c")]), ("instruction", [("user", "i"), ("assistant", "o")]),
         ("instruction", [("user", "i"), ("user", "n"), ("assistant", "o")]), (None, None), (None, None), ("qa", [("user", "q"), ("assistant", "w")]),
     ]
 
