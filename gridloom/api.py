@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .config import Settings
 from .functions import hashing
-from .functions.formulas import referenced_sheets, signature_udf, simple_dependencies
+from .functions.formulas import dependencies_udf, referenced_sheets, signature_udf, simple_dependencies, status_udf
 from .functions.geometry import Rect, a1
 from .operators import aggregates, spatial
 from .plans import clean, detect, export, structure
@@ -178,6 +178,13 @@ def formula_signatures(cells: DataFrame) -> DataFrame:
     return cells.where("formula is not null").select(*TABLE, "row", "col", signature_udf("formula", "row", "col").alias("signature"))
 
 
+def formula_records(cells: DataFrame) -> DataFrame:
+    """Each formula with its type, whether it can be split into tokens, its
+    relative signature, its operands in order, and the state of its result."""
+    f = cells.where("formula is not null")
+    return f.select(*TABLE, "row", "col", "coord", "formula", "formula_type", "cache_status", status_udf("formula").alias("status"), signature_udf("formula", "row", "col").alias("signature"), dependencies_udf("formula").alias("operands"))
+
+
 def write_bundle(spark: SparkSession, run: Extraction, target: str, settings: Settings | None = None) -> str:
     """Writes a run as a folder that appears whole or not at all. Records are
     written by the executors, so on a cluster the target must be a folder that
@@ -185,7 +192,7 @@ def write_bundle(spark: SparkSession, run: Extraction, target: str, settings: Se
     settings = settings or Settings()
     listed = lambda df, *order: [r.asDict(recursive=True) for r in df.orderBy(*order).collect()]
     records = {
-        "cells": run.cells, "unassigned_cells": run.unassigned, "annotations": run.annotations, "ranges": run.ranges, "defined_names": run.names, "warnings": run.warnings, "candidates": run.candidates, "columns": run.columns, "rows": run.rows, "sections": run.sections,
+        "cells": run.cells, "formulas": formula_records(run.cells), "unassigned_cells": run.unassigned, "annotations": run.annotations, "ranges": run.ranges, "defined_names": run.names, "warnings": run.warnings, "candidates": run.candidates, "columns": run.columns, "rows": run.rows, "sections": run.sections,
         "column_groups": run.groups, "dropped_rows": run.dropped_rows, "dropped_columns": run.dropped_columns, "clean_columns": run.clean_columns, "clean_tables": run.clean_tables,
     }
     digests = run.digests.persist()
@@ -213,4 +220,4 @@ def write_bundle(spark: SparkSession, run: Extraction, target: str, settings: Se
     return str(target)
 
 
-__all__ = ["Extraction", "Settings", "effective_cells", "extract", "formula_signatures", "structure", "with_merges", "write_bundle"]
+__all__ = ["Extraction", "Settings", "effective_cells", "extract", "formula_records", "formula_signatures", "structure", "with_merges", "write_bundle"]

@@ -231,6 +231,20 @@ def test_snapshots_and_blocks(banded):
     assert (counts.formulas, counts.merges, counts.validated, counts.cached_formulas) == (13, 4, 4, 5)
 
 
+def test_formula_records(spark, book):
+    from gridloom.api import formula_records
+
+    got = {r.coord: r for r in formula_records(ooxml.read_cells(spark, book)).collect()}
+    assert (got["D4"].status, got["D4"].signature, got["D4"].operands, got["D4"].cache_status) == ("ok", "=R[0]C[-1]-R[0]C[-2]", ["C4", "B4"], "present")
+    assert (got["D7"].status, got["D7"].operands, got["D6"].operands) == ("failed", [], ["Calc!B2"])
+
+
+def test_translation_to_the_first_cell():
+    from gridloom.functions.formulas import translated
+
+    assert translated("=D6-C$6+$B7", 6, 5) == "=#REF!-#REF!+$B2" and translated("=G8*2", 6, 5) == "=C3*2" and translated('="A1"&Calc!F6', 6, 5) == '="A1"&Calc!B1'
+
+
 def test_selectors_must_match(spark, book):
     from gridloom.selection import SelectionError
 
