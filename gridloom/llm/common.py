@@ -37,13 +37,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch path that nothing will read again."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def text_bytes(df: DataFrame, text: str) -> int:
     """About how many bytes of text ``df`` has: twice the compressed size that
     the optimizer knows of a scan, which costs no job, or else a sum. It only
