@@ -8,8 +8,11 @@ as a residual: a rectangle repeats once per band it touches, a cell never.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.geometry import Rect
 
@@ -76,15 +79,36 @@ def hidden_cells(cells: DataFrame, rows: DataFrame, column_spans: DataFrame) ->
 
 
 def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
-    """For each left rectangle the nearest right one of its sheet; ties by the
-    right one's row, then column. A sheet has few tables and annotations, and
-    the join is an equality on the sheet."""
-    a, b = left.alias("a"), right.alias("b")
-    distance = Rect.of(alias="a").distance(Rect.of(alias="b"))
-    pairs = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in KEYS])
-    rank = F.struct(distance.alias("d"), F.col("b.min_row"), F.col("b.min_col"))
-    best = F.min_by(F.struct(F.col(f"b.{right_id}").alias("id"), distance.alias("distance")), rank)
-    return pairs.groupBy(*[F.col(f"a.{k}") for k in KEYS], F.col(f"a.{left_id}")).agg(best.alias("best")).select(*KEYS, left_id, F.col("best.id").alias(right_id), F.col("best.distance").alias("distance"))
+    """For each left rectangle (all of one id together) the nearest right one
+    of its sheet; ties by the right one's corners, row first, then its id. Each
+    sheet, whose size the file format bounds, searches a tree of boxes: pairs
+    of rectangles are never made, and memory follows the sheet's rectangles."""
+    corners = Rect.of().columns()
+    known = F.col("workbook").isNotNull() & F.col("sheet").isNotNull()
+    a, b = (x.where(known).select(*KEYS, F.col(n).alias("id"), *corners) for x, n in ((left, left_id), (right, right_id)))
+    distance = a.alias("a").crossJoin(b.alias("b")).select(Rect.of(alias="a").distance(Rect.of(alias="b")).alias("d")).schema["d"].dataType
+    kinds = {"workbook": left.schema["workbook"], "sheet": left.schema["sheet"], left_id: left.schema[left_id], right_id: right.schema[right_id]}
+    schema = StructType([*(StructField(n, f.dataType) for n, f in kinds.items()), StructField("distance", distance)])
+
+    def search(own, others):
+        import pyarrow as pa
+
+        from ..functions.boxes import Boxes, corners_of
+
+        # an empty side has no rows
+        if not own.num_rows or not others.num_rows:
+            return pa.table({n: pa.array([]) for n in schema.names}).cast(arrow)
+        others = others.sort_by([(n, "ascending") for n in ("min_row", "min_col", "max_row", "max_col", "id")])
+        at, d = Boxes(corners_of(others)).nearest(corners_of(own))
+        found = pa.table({"workbook": own.column("workbook"), "sheet": own.column("sheet"), "id": own.column("id"), "d": d, "at": at})
+        # the best of all rectangles of an id
+        found = found.sort_by([("d", "ascending"), ("at", "ascending")])
+        first = np.unique(found.column("id").combine_chunks().dictionary_encode("encode").indices.to_numpy(), return_index=True)[1]
+        found = found.take(pa.array(first))
+        return pa.table([found.column("workbook"), found.column("sheet"), found.column("id"), others.column("id").take(found.column("at")), found.column("d")], names=schema.names).cast(arrow)
+
+    arrow = to_arrow_schema(schema)
+    return a.groupBy(*KEYS).cogroup(b.groupBy(*KEYS)).applyInArrow(search, schema)
 
 
 def overlap_pairs(rects: DataFrame, name: str, band: int = BAND) -> DataFrame:

@@ -59,3 +59,31 @@ def test_candidates_grow_over_whole_chains_of_merges(spark):
         want = {f"{s}{k}": plain(b, merges.get(s, []), limit) for s, v in boxes.items() for k, b in enumerate(v)}
         assert {r["candidate"]: (r["min_row"], r["min_col"], r["max_row"], r["max_col"]) for r in got.collect()} == want
     assert plain((2, 1, 2, 3), chain, 1_000_000)[2:] == (13, 36)
+
+
+def test_nearest_makes_no_pairs(spark, sf):
+    """Against brute force, with ties, several rectangles of an id, open sides
+    and sheets of one kind only; and no join of a sheet with itself."""
+    import random
+
+    from gridloom.operators.spatial import nearest
+    from gridloom.queries import QUERIES
+
+    rng = random.Random(3)
+    rects = lambda sheets, n, ids: [("w", rng.choice(sheets), rng.randrange(ids), *(r := [rng.randrange(1, 40), rng.randrange(1, 30)]), None if rng.random() < 0.1 else r[0] + rng.randrange(4), r[1] + rng.randrange(4)) for _ in range(n)]
+    shape = "workbook string, sheet string, {} long, min_row int, min_col int, max_row int, max_col int"
+    notes, tables = rects(["a", "b", "only notes"], 150, 90), rects(["a", "b", "only tables"], 400, 1000)
+    notes.append(("w", None, 1, 1, 1, 1, 1))
+    tables.append(("w", None, 1, 1, 1, 1, 1))
+    end = lambda x: 10**9 if x is None else x
+    want = {}
+    for w, s, i, r1, c1, r2, c2 in notes:
+        for w2, s2, j, q1, d1, q2, d2 in tables:
+            if s == s2 and s is not None:
+                d = max(0, q1 - end(r2), r1 - end(q2)) + max(0, d1 - c2, c1 - d2)
+                best = (d, q1, d1, end(q2), d2, j)
+                want[w, s, i] = min(best, want.get((w, s, i), best))
+    got = nearest(spark.createDataFrame(notes, shape.format("note")), spark.createDataFrame(tables, shape.format("table_id")), "note", "table_id")
+    assert sorted(map(tuple, got.collect())) == sorted((*k, v[-1], v[0]) for k, v in want.items())
+    plan = QUERIES["nearest_table"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "CartesianProduct" not in plan
