@@ -9,11 +9,12 @@ the probability by exact word counts. The score
 is the log-probability of the lower-cased words, joined by one space, with an
 end symbol; ``bits_per_byte`` follows from it.
 
-The tables count all training documents but those of a bounded sample that set
-the first weights, so that these are learned on unseen text. Counts
-are summed within each task, and merged slice by slice in a tree; the merged
-tables have a size of ``bits`` that grows with the text up to a bound, and only
-they are sent to all tasks. The unigram base needs exact counts of all words:
+The tables count all training documents. Counts are summed within each task,
+and merged slice by slice in a tree; the merged tables have a size of ``bits``
+that grows with the text up to a bound, and only they are sent to all tasks.
+The weights are learned from all training documents too: a few of them, before
+they are counted, give weights to start from, and a Newton step over every bit
+of all, each predicted from the counts without itself, gives the final ones. The unigram base needs exact counts of all words:
 chunks ask for their distinct words by hash bucket, in packed form.
 
 Defined results: null and empty texts are the end token alone; a null doc_id
@@ -168,9 +169,10 @@ class Pieces:
 
 
 class Steps:
-    """The bit decisions of one piece."""
+    """The bit decisions of one piece; with ``blocks``, all parts' first BLOCK
+    of them, then all their second, and so on."""
 
-    def __init__(self, parts: list[tuple[int, np.ndarray, int]], code: Code):
+    def __init__(self, parts: list[tuple[int, np.ndarray, int]], code: Code, blocks: bool = False):
         data = np.concatenate([d for _, d, _ in parts])
         sizes = np.array([len(d) for _, d, _ in parts])
         real = np.ones(len(data), bool)
@@ -182,10 +184,15 @@ class Steps:
         count = code.length[symbol]
         begin = np.cumsum(count) - count
         at = np.arange(int(count.sum()), dtype=np.int32) - np.repeat((begin - code.first[symbol]).astype(np.int32), count)
-        self.node, self.bit = code.hashes[at], code.bits[at]
         self.byte = np.repeat(byte.astype(np.int32), count)
         doc = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)[byte]
         self.doc = np.repeat(doc, count)
+        self.sizes = np.bincount(self.doc, minlength=len(parts))
+        if blocks and len(parts) > 1:
+            turn = (np.arange(len(at)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)) // BLOCK
+            order = np.argsort(turn.astype(np.uint16) if turn.max() < 1 << 16 else turn, kind="stable")
+            at, self.byte, self.doc = at[order], self.byte[order], self.doc[order]
+        self.node, self.bit = code.hashes[at], code.bits[at]
         self.context = [mixed(c, h) for c, h in zip(contexts(data), HASHES[::-1], strict=False)]
         self.parts = parts
 
@@ -193,12 +200,12 @@ class Steps:
         return slots(self.context[which][self.byte], self.node, which, bits)
 
 
-def count_tables(docs: list[np.ndarray], code: Code, bits: int, into: np.ndarray) -> None:
+def count_tables(docs: list[np.ndarray], code: Code, bits: int, into: np.ndarray, times: int = 1) -> None:
     """Adds the docs' (zeros, ones) to ``into``: PREDICTORS x 2**bits x 2."""
     for parts in Pieces(docs):
         steps = Steps(parts, code)
         for k in range(PREDICTORS):
-            np.add.at(into[k], steps.slots(k, bits) * 2 + steps.bit, U32(1))
+            np.add.at(into[k], steps.slots(k, bits) * 2 + steps.bit, U32(times))
 
 
 def logits(counts: np.ndarray) -> np.ndarray:
@@ -207,6 +214,36 @@ def logits(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(np.log((ones + 0.4) / (zeros + 0.4)) * SHARP), -127, 127).astype(np.int8)
 
 
+def stored(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of logits from tables of (zeros, ones); and the same with both
+    counts, up to 15, above the logit's byte."""
+    tables = np.empty((len(counts), counts.shape[1] // 2), np.int8)
+    known = np.empty(tables.shape, np.uint16)
+    for k, row in enumerate(counts):
+        for lo in range(0, len(row), 1 << 18):
+            part, at = row[lo : lo + (1 << 18)], slice(lo // 2, lo // 2 + (1 << 17))
+            low = np.minimum(part, 15).astype(np.uint16)
+            tables[k, at] = logits(part)
+            known[k, at] = tables[k, at].view(np.uint8) | low[0::2] << 8 | low[1::2] << 12
+    return tables, known
+
+
+def _without() -> np.ndarray:
+    """By bit and number in ``known``: the stored logit when that bit is not
+    counted. Counts from 15 on change it by less than one; beside one of them
+    the logit is right to one step, and otherwise exact."""
+    number, bit = np.arange(1 << 17) & 0xFFFF, np.arange(1 << 17) >> 16
+    own = np.where(bit == 1, number >> 12, number >> 8 & 15)
+    change = np.log((np.maximum(own, 1) + 0.4) / (np.maximum(own, 1) - 0.6)) * SHARP
+    change = np.where((own == 0) | (own == 15), 0, np.rint(np.where(bit == 1, -change, change)))
+    zeros, ones = number >> 8 & 15, number >> 12
+    exact = logits(np.stack([np.maximum(zeros - (bit == 0), 0), np.maximum(ones - (bit == 1), 0)], axis=1).ravel())
+    rough = np.clip((number & 0xFF).astype(np.uint8).view(np.int8) + change, -127, 127).astype(np.int8)
+    return np.where((zeros < 15) & (ones < 15), exact, rough)
+
+
+WITHOUT = _without()
+
 #: How sure a stored logit is, 0 to 3, by its byte.
 LEVELS = np.searchsorted((3, 25, 60), np.abs(np.arange(256, dtype=np.uint8).view(np.int8).astype(int)), side="right").astype(np.int32)
 
@@ -217,12 +254,37 @@ class Mixer:
         self.weights = np.full((GATES, PREDICTORS), 0.3, np.float32) if weights is None else weights
 
     def inputs(self, steps: Steps) -> tuple[np.ndarray, np.ndarray]:
-        stored = [self.tables[k][steps.slots(k, self.bits)] for k in range(PREDICTORS)]
-        gate = LEVELS[stored[-2].view(np.uint8)] * 4 + LEVELS[stored[-1].view(np.uint8)]
-        x = np.empty((len(gate), PREDICTORS), np.float32)
-        for k, s in enumerate(stored):
-            np.multiply(s, np.float32(1 / SHARP), out=x[:, k])
-        return x, gate
+        found = [self.tables[k][steps.slots(k, self.bits)] for k in range(PREDICTORS)]
+        x = np.empty((len(steps.bit), PREDICTORS), np.float32, order="F")
+        for k, one in enumerate(found):
+            np.multiply(one, np.float32(1 / SHARP), out=x[:, k])
+        return x, _gate(found)
+
+    def evidence(self, docs: list[np.ndarray], known: np.ndarray) -> np.ndarray:
+        """Gradient and curvature of the docs' log-probability by gate, as
+        GATES x (PREDICTORS + PREDICTORS**2). The docs are counted in
+        ``known``; each bit is predicted from the counts without itself."""
+        out = np.zeros((GATES, PREDICTORS + PREDICTORS**2))
+        for parts in Pieces(docs):
+            steps = Steps(parts, self.code)
+            high = steps.bit.astype(np.int32) << 16
+            found = [WITHOUT.take(known[k].take(steps.slots(k, self.bits)) | high) for k in range(PREDICTORS)]
+            gate = _gate(found).astype(np.uint8)
+            order = np.argsort(gate, kind="stable")
+            x = np.stack([one.take(order) for one in found]) * np.float32(1 / SHARP)
+            bits, ends = steps.bit.take(order), np.cumsum(np.bincount(gate, minlength=GATES))
+            for g, (lo, hi) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+                a = x[:, lo:hi]
+                p = _sigmoid(self.weights[g] @ a)
+                out[g, :PREDICTORS] += a @ (bits[lo:hi] - p)
+                out[g, PREDICTORS:] += ((a * (p * (1 - p))) @ a.T).ravel()
+        return out
+
+    def improve(self, evidence: np.ndarray) -> None:
+        """A Newton step."""
+        curve = evidence[:, PREDICTORS:].reshape(GATES, PREDICTORS, PREDICTORS)
+        step = np.linalg.solve(curve + np.eye(PREDICTORS), evidence[:, :PREDICTORS, None])[:, :, 0]
+        self.weights = (self.weights + np.clip(step, -1, 1)).astype(np.float32)
 
     def fit(self, docs: list[np.ndarray], rounds: int = 6) -> None:
         """First weights: Newton steps for each gate on unseen documents."""
@@ -246,7 +308,7 @@ class Mixer:
         order = sorted(range(len(docs)), key=lambda k: len(docs[k]))
         carried: tuple[int, np.ndarray] | None = None
         for parts in Pieces([docs[k] for k in order]):
-            steps = Steps(parts, self.code)
+            steps = Steps(parts, self.code, blocks=True)
             x, gate = self.inputs(steps)
             weights = np.repeat(self.weights[None], len(parts), axis=0)
             if len(parts) == 1 and carried and carried[0] == parts[0][0]:
@@ -264,28 +326,30 @@ class Mixer:
     def _code(self, x, gate, steps: Steps, weights: np.ndarray) -> np.ndarray:
         """Nats for each bit; the parts' weights follow their own blocks. All
         parts take their next block together."""
-        n = len(steps.parts)
-        limits = np.searchsorted(steps.doc, np.arange(n + 1))
-        begin, left = limits[:-1], np.diff(limits)
+        left = steps.sizes
         key = steps.doc * GATES + gate
         sign = 2 * steps.bit.astype(np.float32) - 1
-        flat, size = weights.reshape(n * GATES, PREDICTORS), n * GATES
-        nats = np.zeros(len(gate), np.float32)
-        lo = 0
-        while (active := np.flatnonzero(left > lo)).size:
-            count = np.minimum(left[active] - lo, BLOCK)
-            ends = np.cumsum(count)
-            at = np.arange(ends[-1]) + np.repeat(begin[active] + lo - (ends - count), count)
-            a, k, s = x[at], key[at], sign[at]
-            z = np.einsum("ij,ij->i", a, flat[k])
-            odds = np.exp(np.clip(-s * z, -60, 60))  # against the bit
-            nats[at] = np.log(1 + odds)
-            lo += BLOCK
-            if (left > lo).any():
+        size = len(left) * GATES
+        flat = weights.reshape(size, PREDICTORS).T.copy()
+        nats = np.empty(len(gate), np.float32)
+        lo = done = 0
+        while lo < len(gate):
+            hi = lo + int(np.clip(left - done, 0, BLOCK).sum())
+            k, s = key[lo:hi], sign[lo:hi]
+            z = x[lo:hi, 0] * flat[0].take(k)
+            for j in range(1, PREDICTORS):
+                z += x[lo:hi, j] * flat[j].take(k)
+            z *= -s
+            odds = np.exp(np.clip(z, -60, 60, out=z), out=z)  # against the bit
+            np.log1p(odds, out=nats[lo:hi])
+            done += BLOCK
+            if hi < len(gate):
                 error = s * (odds / (1 + odds))
                 rate = RATE / np.sqrt(np.bincount(k, minlength=size) + 1.0)
                 for j in range(PREDICTORS):
-                    flat[:, j] += (rate * np.bincount(k, weights=error * a[:, j], minlength=size)).astype(np.float32)
+                    flat[j] += rate * np.bincount(k, weights=error * x[lo:hi, j], minlength=size)
+            lo = hi
+        weights.reshape(size, PREDICTORS)[:] = flat.T
         return nats
 
 
@@ -311,6 +375,11 @@ def word_log10(nats: np.ndarray, words: list[bytes], counts: np.ndarray, total:
     return float(np.logaddexp(np.log(weight) + exact, np.log1p(-weight) + coded).sum() / np.log(10))
 
 
+def _gate(found: list[np.ndarray]) -> np.ndarray:
+    """By how sure the two longest contexts' stored logits are."""
+    return LEVELS[found[-2].view(np.uint8)] * 4 + LEVELS[found[-1].view(np.uint8)]
+
+
 def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -331,7 +400,8 @@ def _byte_counts(rows: DataFrame) -> np.ndarray:
 
 
 def _merged_tables(rows: DataFrame, code: Code, bits: int) -> np.ndarray:
-    """The predictors' tables as stored logits, merged slice by slice."""
+    """The predictors' tables of counts, merged slice by slice: PREDICTORS x
+    2**bits, zeros in the lower and ones in the upper half of a number."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -347,30 +417,43 @@ def _merged_tables(rows: DataFrame, code: Code, bits: int) -> np.ndarray:
                 parts = [zlib.compress(total[k, s * width : (s + 1) * width].tobytes(), 1) for s in range(SLICES)]
                 yield pa.RecordBatch.from_arrays([pa.array([k * SLICES + s for s in range(SLICES)], pa.int32()), pa.array([task] * SLICES, pa.int32()), pa.array(parts, pa.binary())], names=["slice", "task", "blob"])
 
-    def merge(final):
-        def run(key, table):
-            total = 0
-            for blob in table.column("blob"):
-                total = total + np.frombuffer(zlib.decompress(blob.as_py()), np.uint32).astype(np.uint64)
-            out = logits(total).tobytes() if final else zlib.compress(np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes(), 1)
-            return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "task": pa.array([key[1].as_py()], pa.int32()), "blob": pa.array([out], pa.binary())})
-
-        return run
+    def merge(key, table):
+        total = 0
+        for blob in table.column("blob"):
+            total = total + np.frombuffer(zlib.decompress(blob.as_py()), np.uint32).astype(np.uint64)
+        out = zlib.compress(np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes(), 1)
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "task": pa.array([key[1].as_py()], pa.int32()), "blob": pa.array([out], pa.binary())})
 
     schema = "slice int, task int, blob binary"
     level = written(rows.select("text").mapInArrow(lambda batches: trimmed(run(batches)), schema), "tables")
     tasks = (level.agg(F.max("task")).first()[0] or 0) + 1
     while tasks > 1:
         tasks = -(-tasks // 32)
-        level = level.withColumn("task", F.pmod("task", F.lit(tasks))).groupBy("slice", "task").applyInArrow(merge(tasks == 1), schema)
-        done = tasks == 1
-    else:
-        if "done" not in locals():
-            level = level.groupBy("slice", "task").applyInArrow(merge(True), schema)
-    tables = np.zeros((PREDICTORS, SLICES, (1 << bits) // SLICES), np.int8)
+        level = level.withColumn("task", F.pmod("task", F.lit(tasks))).groupBy("slice", "task").applyInArrow(merge, schema)
+    counts = np.zeros((PREDICTORS, SLICES, (2 << bits) // SLICES), "<u4")
     for r in level.toLocalIterator():
-        tables[r["slice"] // SLICES, r["slice"] % SLICES] = np.frombuffer(r["blob"], np.int8)
-    return tables.reshape(PREDICTORS, 1 << bits)
+        counts[r["slice"] // SLICES, r["slice"] % SLICES] = np.frombuffer(zlib.decompress(r["blob"]), "<u4")
+    return counts.reshape(PREDICTORS, 2 << bits).view("<u8")
+
+
+def _evidence(rows: DataFrame, mixer: Mixer, known: np.ndarray) -> np.ndarray:
+    """The evidence of all rows, summed."""
+    shared = rows.sparkSession.sparkContext.broadcast((mixer.bits, mixer.code, mixer.weights, known))
+
+    def run(batches):
+        bits, code, weights, known = shared.value
+        mixer, total = Mixer(None, bits, code, weights), np.zeros((GATES, PREDICTORS + PREDICTORS**2))
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                total += mixer.evidence([coded_bytes(words_of(t)) for t in batch.column(0).slice(k, 512).to_pylist()], known)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["place", "x"])
+
+    sums = rows.select("text").mapInArrow(lambda batches: trimmed(run(batches)), "place long, x double").groupBy("place").agg(F.sum("x").alias("x")).collect()
+    shared.unpersist()
+    out = np.zeros(GATES * (PREDICTORS + PREDICTORS**2))
+    for r in sums:
+        out[r["place"]] = r["x"]
+    return out.reshape(GATES, -1)
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mix_docs: int = MIX_DOCS, mix_bytes: int = MIX_BYTES) -> Mixer:
@@ -384,17 +467,26 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mix_docs:
     sample = rows.where(turn).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(mix_docs)
     chosen = written(sample, "mix").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
     mark = F.xxhash64("doc_id", "text")
-    budget, texts, fitted = mix_bytes, [], set()
+    budget, fitted = mix_bytes, {}
     for r in chosen.withColumn("mark", mark).toLocalIterator():  # whole texts, mix_bytes of them at most
         doc = coded_bytes(words_of(r["text"]))
-        if len(doc) <= budget:
+        if len(doc) <= budget and r["mark"] not in fitted:
             budget -= len(doc)
-            texts.append(doc)
-            fitted.add(r["mark"])
-    # what does not fit the budget is counted
+            fitted[r["mark"]] = doc
+    # those set the weights to start from, on tables that do not know them
     counted = rows.where(~mark.isin(sorted(fitted))) if fitted else rows
-    mixer = Mixer(_merged_tables(counted, code, bits), bits, code)
-    mixer.fit(texts)
+    counts = _merged_tables(counted, code, bits).astype("<u8", copy=False).view("<u4")
+    mixer = Mixer(stored(counts)[0], bits, code)
+    mixer.fit(list(fitted.values()))
+    # then they are counted too, as often as they occur, and all documents set the weights
+    occurs: dict[int, list[np.ndarray]] = {}
+    for r in rows.where(mark.isin(sorted(fitted))).groupBy(mark.alias("mark")).count().collect() if fitted else ():
+        occurs.setdefault(r["count"], []).append(fitted[r["mark"]])
+    for times, texts in occurs.items():
+        count_tables(texts, code, bits, counts, times)
+    mixer.tables, known = stored(counts)
+    del counts
+    mixer.improve(_evidence(rows, mixer, known))
     return mixer
 
 

@@ -300,6 +300,64 @@ def test_lm_pieces_carry_contexts_and_weights(monkeypatch):
     assert abs(mixer.byte_nats([doc])[0].sum() / want - 1) < 1e-4
 
 
+def test_lm_learns_from_all_training_documents(spark):
+    """The tables count every training row, repeated ones as often as they
+    occur, and the weights' step sums over all bits, each without itself."""
+    from gridloom.llm import lm_scoring as L
+
+    rng = random.Random(11)
+    rows = [(k, text(rng, 30)) for k in range(300)]
+    rows += [r for r in rows if r[0] % 3 == 0]
+    docs = [L.coded_bytes(L.words_of(t)) for k, t in rows if zlib.crc32(str(k).encode()) % 7 != 2]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    start = []
+    fit, improve = L.Mixer.fit, L.Mixer.improve
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(L.Mixer, "fit", lambda self, texts: (fit(self, texts), start.append((len(texts), self.weights.copy())))[0])
+        patch.setattr(L.Mixer, "improve", lambda self, e: (start.append(e), improve(self, e))[1])
+        mixer = L.train(frame, mix_bytes=2000)
+    (fitted, weights), evidence = start
+    assert fitted > 1
+    counts = np.zeros((L.PREDICTORS, 2 << mixer.bits), np.uint32)
+    L.count_tables(docs, mixer.code, mixer.bits, counts)
+    assert np.array_equal(mixer.tables, np.stack([L.logits(c) for c in counts]))
+    grad, curve = np.zeros((L.GATES, L.PREDICTORS)), np.zeros((L.GATES, L.PREDICTORS, L.PREDICTORS))
+    for doc in docs:
+        steps = L.Steps(next(iter(L.Pieces([doc]))), mixer.code)
+        x = []
+        for k in range(L.PREDICTORS):
+            at = steps.slots(k, mixer.bits) * 2
+            both = np.stack([counts[k][at], counts[k][at + 1]], axis=1).astype(int)
+            less = both - np.stack([steps.bit == 0, steps.bit == 1], axis=1)
+            # beside a count from 15 on, to the next step of a stored logit
+            own, sign = both[np.arange(len(at)), steps.bit], 2.0 * steps.bit - 1
+            change = np.where(own < 15, np.rint(np.log((own + 0.4) / (own - 0.6)) * L.SHARP), 0)
+            x.append(np.where((both < 15).all(axis=1), L.logits(less.ravel()), np.clip(L.logits(both.ravel()) - sign * change, -127, 127).astype(np.int8)))
+            assert np.abs(x[-1].astype(int) - L.logits(less.ravel())).max() <= 1
+        x = np.stack(x, axis=1)
+        gate = L.LEVELS[x[:, -2].astype(np.uint8)] * 4 + L.LEVELS[x[:, -1].astype(np.uint8)]
+        x = x / L.SHARP
+        p = 1 / (1 + np.exp(-(x * weights[gate]).sum(axis=1)))
+        for g, a, b, q in zip(gate, x, steps.bit, p, strict=True):
+            grad[g] += (b - q) * a
+            curve[g] += q * (1 - q) * np.outer(a, a)
+    assert np.allclose(evidence[:, : L.PREDICTORS], grad, rtol=1e-3, atol=0.01)
+    assert np.allclose(evidence[:, L.PREDICTORS :], curve.reshape(L.GATES, -1), rtol=1e-3, atol=0.01)
+    step = np.linalg.solve(evidence[:, L.PREDICTORS :].reshape(curve.shape) + np.eye(L.PREDICTORS), evidence[:, : L.PREDICTORS, None])[:, :, 0]
+    assert np.allclose(mixer.weights, weights + np.clip(step, -1, 1), atol=1e-5)
+
+
+def test_lm_documents_together_cost_what_they_cost_alone():
+    from gridloom.llm import lm_scoring as L
+
+    rng = np.random.default_rng(12)
+    docs = [np.append(rng.integers(97, 105, int(n)), L.END).astype(np.uint8) for n in rng.integers(0, 900, 60)]
+    code = L.Code(np.bincount(np.concatenate(docs), minlength=256))
+    mixer = L.Mixer(rng.integers(-60, 60, (L.PREDICTORS, 1 << 16)).astype(np.int8), 16, code)
+    for doc, got in zip(docs, mixer.byte_nats(docs), strict=True):
+        assert np.allclose(got, mixer.byte_nats([doc])[0], rtol=1e-3, atol=1e-4)
+
+
 # --- 5: URL filters
 
 
