@@ -128,7 +128,7 @@ NODE_HASHES = mixed(np.arange(1, 257, dtype=np.uint32), U32(0x5BD1E995))
 
 def slots(context: np.ndarray, node: np.ndarray, which: int, bits: int) -> np.ndarray:
     """Table slots of hashed contexts and hashed nodes."""
-    h = context + node
+    h = np.add(context, node, out=context)
     h ^= h >> U32(15)
     h *= HASHES[which]
     h >>= U32(32 - bits)
@@ -184,7 +184,7 @@ class Steps:
         count = code.length[symbol]
         begin = np.cumsum(count) - count
         at = np.arange(int(count.sum()), dtype=np.int32) - np.repeat((begin - code.first[symbol]).astype(np.int32), count)
-        self.byte = np.repeat(byte.astype(np.int32), count)
+        self.byte = np.repeat(byte, count)  # of the type of an index, which spares casts
         doc = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)[byte]
         self.doc = np.repeat(doc, count)
         self.sizes = np.bincount(self.doc, minlength=len(parts))
@@ -197,7 +197,7 @@ class Steps:
         self.parts = parts
 
     def slots(self, which: int, bits: int) -> np.ndarray:
-        return slots(self.context[which][self.byte], self.node, which, bits)
+        return slots(self.context[which].take(self.byte), self.node, which, bits)
 
 
 def count_tables(docs: list[np.ndarray], code: Code, bits: int, into: np.ndarray, times: int = 1) -> None:
@@ -254,7 +254,7 @@ class Mixer:
         self.weights = np.full((GATES, PREDICTORS), 0.3, np.float32) if weights is None else weights
 
     def inputs(self, steps: Steps) -> tuple[np.ndarray, np.ndarray]:
-        found = [self.tables[k][steps.slots(k, self.bits)] for k in range(PREDICTORS)]
+        found = [self.tables[k].take(steps.slots(k, self.bits)) for k in range(PREDICTORS)]
         x = np.empty((len(steps.bit), PREDICTORS), np.float32, order="F")
         for k, one in enumerate(found):
             np.multiply(one, np.float32(1 / SHARP), out=x[:, k])
@@ -327,7 +327,7 @@ class Mixer:
         """Nats for each bit; the parts' weights follow their own blocks. All
         parts take their next block together."""
         left = steps.sizes
-        key = steps.doc * GATES + gate
+        key = (steps.doc * GATES + gate).astype(np.intp)
         sign = 2 * steps.bit.astype(np.float32) - 1
         size = len(left) * GATES
         flat = weights.reshape(size, PREDICTORS).T.copy()
