@@ -9,6 +9,10 @@ the probability by exact word counts. The score
 is the log-probability of the lower-cased words, joined by one space, with an
 end symbol; ``bits_per_byte`` follows from it.
 
+A predictor's input for a byte depends on the byte and its context alone, and
+texts repeat these. So equal bytes with equal contexts, within POOL bytes, are
+counted, looked up and weighed as one; only the mixing goes bit by bit.
+
 The tables count all training documents. Counts are summed within each task,
 and merged slice by slice in a tree; the merged tables have a size of ``bits``
 that grows with the text up to a bound, and only they are sent to all tasks.
@@ -28,7 +32,8 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +54,10 @@ BLOCK = 512
 #: Bytes of a piece, and of the word so far that it may carry over. Blocks of
 #: steps also end where a document's piece does.
 PIECE, WORD = 1 << 18, 1 << 16
+#: Bytes among which equal situations are found; documents and bytes that are
+#: coded together.
+POOL = 1 << 21
+TOGETHER = (96, 1 << 19)
 RATE = 0.03
 WORD_WEIGHT, WORD_TRUST = 0.4, 20.0
 PAD = 8
@@ -94,24 +103,36 @@ class Code:
         self.hashes = NODE_HASHES[self.nodes]
 
 
+def nearby(data: np.ndarray) -> np.ndarray:
+    """Each byte with the three before it, in one number."""
+    x = data.astype(np.uint32)
+    for k in (1, 2):  # pairs, then pairs of pairs
+        x[k:] |= x[:-k] << U32(8 * k)
+    return x
+
+
 def contexts(data: np.ndarray) -> list[np.ndarray]:
     """A 32-bit context for each byte from those before it, PREDICTORS of them.
     ``data`` begins with PAD zeros, and documents in it are PAD zeros apart."""
     x = data.astype(np.uint32)
-    back = lambda k: np.concatenate((np.zeros(k, np.uint32), x[:-k]))
-    one, two, three, four, five = (back(k) for k in range(1, 6))
-    o2 = one | two << U32(8)
-    o3 = o2 | three << U32(16)
-    o5 = (o3 | four << U32(24)) * U32(0x9E3779B1) ^ five * U32(0x85EBCA6B)
+    four = np.concatenate((np.zeros(1, np.uint32), nearby(data)[:-1]))
+    o5 = four * U32(0x9E3779B1)
+    o5[5:] ^= x[:-5] * U32(0x85EBCA6B)
     # hash of the word so far: a running sum over the bytes since the last gap
     gap = (data == 0x20) | (data == 0)
-    place = np.arange(len(x))
-    start = np.concatenate((np.zeros(1, np.int64), np.maximum.accumulate(np.where(gap, place + 1, 0))[:-1]))
+    place = np.arange(len(x), dtype=np.int32)
+    start = np.zeros(len(x), np.int32)
+    np.maximum.accumulate((place[:-1] + np.int32(1)) * gap[:-1], out=start[1:])
     age = (place - start).astype(np.uint32)
     term = (x + U32(1)) * (np.minimum(age, U32(1 << 16)) * U32(0xCC9E2D51) + U32(0x1B873593) ^ x << U32(7))
     total = np.concatenate((np.zeros(1, np.uint32), np.cumsum(term, dtype=np.uint32)))
-    word = total[place] - total[start] + age * U32(0x2545F491)
-    return [one, o2, o3 * U32(0x85EBCA6B), o5, word]
+    word = total[:-1] - total.take(start) + age * U32(0x2545F491)
+    return [*_near_contexts(four), o5, word]
+
+
+def _near_contexts(x: np.ndarray) -> list[np.ndarray]:
+    """Those of the last one, two and three bytes in ``x``."""
+    return [x & U32(0xFF), x & U32(0xFFFF), (x & U32(0xFFFFFF)) * U32(0x85EBCA6B)]
 
 
 def mixed(x: np.ndarray, salt: np.uint32) -> np.ndarray:
@@ -136,21 +157,22 @@ def slots(context: np.ndarray, node: np.ndarray, which: int, bits: int) -> np.nd
 
 
 class Pieces:
-    """Coded documents in pieces of about PIECE bytes. A longer document is
-    spread over pieces of its own, each after ``lead`` bytes of context: those
-    since its word began (WORD at most), PAD at least."""
+    """Coded documents in pieces: up to ``count`` of them and about ``room``
+    bytes, or PIECE. One of more than PIECE bytes is spread over pieces of its
+    own, each after ``lead`` bytes of context: those since its word began (WORD
+    at most), PAD at least."""
 
-    def __init__(self, docs: list[np.ndarray]):
-        self.docs = docs
+    def __init__(self, docs: list[np.ndarray], count: int = 1 << 30, room: int = 0):
+        self.docs, self.count, self.room = docs, count, room
 
     def __iter__(self):
-        held, size = [], 0
+        held, size, room = [], 0, max(PIECE, self.room)
         for k, doc in enumerate(self.docs):
             if len(doc) > PIECE:
                 for lo in range(0, len(doc), PIECE):
                     yield [(k, *self.piece(doc, lo))]
                 continue
-            if held and size + len(doc) > PIECE:
+            if held and (len(held) == self.count or size + len(doc) > room):
                 yield held
                 held, size = [], 0
             held.append((k, np.concatenate((np.zeros(PAD, np.uint8), doc)), PAD))
@@ -168,44 +190,135 @@ class Pieces:
         return np.concatenate((pad, before, doc[lo : lo + PIECE])), len(pad) + len(before)
 
 
+def pools(docs: list[np.ndarray], count: int = 1 << 30, room: int = 0):
+    """The docs' pieces, some at a time: POOL bytes, or a piece over that."""
+    held, size = [], 0
+    for parts in Pieces(docs, count, room):
+        more = sum(len(d) for _, d, _ in parts)
+        if held and size + more > POOL:
+            yield held
+            held, size = [], 0
+        held.append(parts)
+        size += more
+    if held:
+        yield held
+
+
+def _joined(parts: list[tuple[int, np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The parts' bytes, and the places of those that are not lead."""
+    data = np.concatenate([d for _, d, _ in parts])
+    real = np.ones(len(data), bool)
+    start = 0
+    for _, d, lead in parts:
+        real[start : start + lead] = False
+        start += len(d)
+    return data, np.flatnonzero(real)
+
+
+def _keys(pieces: list[list[tuple[int, np.ndarray, int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Of every byte that is not lead: itself with the three before it, and its
+    last two contexts, the word's above. That is all that any predictor sees."""
+    near, far = [], []
+    for parts in pieces:
+        data, byte = _joined(parts)
+        near.append(nearby(data).take(byte))
+        *_, five, word = contexts(data)
+        both = word.take(byte).astype(np.uint64)
+        both <<= np.uint64(32)
+        both |= five.take(byte)
+        far.append(both)
+    return np.concatenate(near), np.concatenate(far)
+
+
+def _hashed(near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    key = far * np.uint64(0x9E3779B97F4A7C15)
+    key ^= near * np.uint64(0xC2B2AE3D27D4EB4F)
+    key ^= key >> np.uint64(29)
+    key *= np.uint64(0xBF58476D1CE4E5B9)
+    return key
+
+
 class Steps:
-    """The bit decisions of one piece; with ``blocks``, all parts' first BLOCK
-    of them, then all their second, and so on."""
-
-    def __init__(self, parts: list[tuple[int, np.ndarray, int]], code: Code, blocks: bool = False):
-        data = np.concatenate([d for _, d, _ in parts])
-        sizes = np.array([len(d) for _, d, _ in parts])
-        real = np.ones(len(data), bool)
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        for start, (_, _, lead) in zip(starts.tolist(), parts, strict=True):
-            real[start : start + lead] = False
-        byte = np.flatnonzero(real)
-        symbol = data[byte]
-        count = code.length[symbol]
-        begin = np.cumsum(count) - count
-        at = np.arange(int(count.sum()), dtype=np.int32) - np.repeat((begin - code.first[symbol]).astype(np.int32), count)
-        self.byte = np.repeat(byte, count)  # of the type of an index, which spares casts
-        doc = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)[byte]
-        self.doc = np.repeat(doc, count)
-        self.sizes = np.bincount(self.doc, minlength=len(parts))
-        if blocks and len(parts) > 1:
-            turn = (np.arange(len(at)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)) // BLOCK
-            order = np.argsort(turn.astype(np.uint16) if turn.max() < 1 << 16 else turn, kind="stable")
-            at, self.byte, self.doc = at[order], self.byte[order], self.doc[order]
+    """The bit decisions of one piece."""
+
+    def __init__(self, parts: list[tuple[int, np.ndarray, int]], code: Code):
+        data, byte = _joined(parts)
+        self._decide(data[byte], dict(enumerate(c.take(byte) for c in contexts(data))), code)
+
+    def _decide(self, symbol: np.ndarray, context: dict[int, np.ndarray], code: Code) -> None:
+        """The decisions at these bytes, for predictors with these contexts."""
+        self.count = code.length[symbol]
+        self.begin = np.cumsum(self.count) - self.count
+        at = np.arange(int(self.count.sum())) + np.repeat(code.first[symbol] - self.begin, self.count)
+        self.byte = np.repeat(np.arange(len(symbol)), self.count)  # of the type of an index, which spares casts
         self.node, self.bit = code.hashes[at], code.bits[at]
-        self.context = [mixed(c, h) for c, h in zip(contexts(data), HASHES[::-1], strict=False)]
-        self.parts = parts
+        self.context = {k: mixed(c, HASHES[-1 - k]) for k, c in context.items()}
 
     def slots(self, which: int, bits: int) -> np.ndarray:
         return slots(self.context[which].take(self.byte), self.node, which, bits)
 
 
+class Distinct(Steps):
+    """Those at the distinct ones of some bytes with one context, which occur
+    ``times`` each. ``key`` holds the context above the byte."""
+
+    def __init__(self, key: np.ndarray, predictors: range, code: Code):
+        key.sort()
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1])))
+        self.times = np.diff(first, append=len(key))
+        key = key.take(first)
+        context = (key >> key.dtype.type(8)).astype(np.uint32)
+        found = _near_contexts(context) if predictors[0] == 0 else [context]
+        self._decide(key.astype(np.uint8), dict(zip(predictors, found, strict=True)), code)
+
+
+class Situations(Steps):
+    """Those at the distinct situations in some pieces: a byte and the contexts
+    of all predictors. ``times`` says how often each occurs, and ``which`` the
+    situation of every byte, by number. Equal ones are brought together by hash
+    and then compared as they are: different ones of one hash stay different."""
+
+    def __init__(self, pieces: list[list[tuple[int, np.ndarray, int]]], code: Code, which: bool = False):
+        near, far = _keys(pieces)
+        key = _hashed(near, far)
+        low = np.uint64(len(near).bit_length())
+        key >>= low
+        key <<= low
+        key |= np.arange(len(near), dtype=np.uint64)
+        key.sort()
+        key &= (np.uint64(1) << low) - np.uint64(1)
+        place = key.view(np.int64)
+        near, far = near.take(place), far.take(place)
+        new = np.ones(len(near), bool)
+        np.not_equal(near[1:], near[:-1], out=new[1:])
+        new[1:] |= far[1:] != far[:-1]
+        first = np.flatnonzero(new)
+        self.times = np.diff(first, append=len(near))
+        if which:
+            self.which = np.empty(len(near), np.int32)
+            self.which[place] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        near, far = near.take(first), far.take(first)
+        del key, place, new
+        found = [*_near_contexts(near >> U32(8)), far.astype(np.uint32), (far >> np.uint64(32)).astype(np.uint32)]
+        self._decide(near.astype(np.uint8), dict(enumerate(found)), code)
+
+
 def count_tables(docs: list[np.ndarray], code: Code, bits: int, into: np.ndarray, times: int = 1) -> None:
-    """Adds the docs' (zeros, ones) to ``into``: PREDICTORS x 2**bits x 2."""
-    for parts in Pieces(docs):
-        steps = Steps(parts, code)
-        for k in range(PREDICTORS):
-            np.add.at(into[k], steps.slots(k, bits) * 2 + steps.bit, U32(times))
+    """Adds the docs' (zeros, ones) to ``into``: PREDICTORS x 2**bits x 2.
+    Equal bytes with equal contexts are added as one."""
+    for pieces in pools(docs):
+        near, far = _keys(pieces)
+        symbol = near.astype(np.uint8)
+        for predictors in (range(3), range(3, 4), range(4, 5)):
+            if predictors[0] < 3:
+                key = near
+            else:
+                key = (far >> np.uint64(32) if predictors[0] == 4 else far & np.uint64(0xFFFFFFFF)) << np.uint64(8)
+                key |= symbol
+            seen = Distinct(key, predictors, code)
+            occurs = (seen.times * times).astype(np.uint32).take(seen.byte)
+            for k in predictors:
+                np.add.at(into[k], seen.slots(k, bits) * 2 + seen.bit, occurs)
 
 
 def logits(counts: np.ndarray) -> np.ndarray:
@@ -265,19 +378,20 @@ class Mixer:
         GATES x (PREDICTORS + PREDICTORS**2). The docs are counted in
         ``known``; each bit is predicted from the counts without itself."""
         out = np.zeros((GATES, PREDICTORS + PREDICTORS**2))
-        for parts in Pieces(docs):
-            steps = Steps(parts, self.code)
-            high = steps.bit.astype(np.int32) << 16
-            found = [WITHOUT.take(known[k].take(steps.slots(k, self.bits)) | high) for k in range(PREDICTORS)]
+        for pieces in pools(docs):
+            seen = Situations(pieces, self.code)
+            high = seen.bit.astype(np.int32) << 16
+            found = [WITHOUT.take(known[k].take(seen.slots(k, self.bits)) | high) for k in range(PREDICTORS)]
             gate = _gate(found).astype(np.uint8)
             order = np.argsort(gate, kind="stable")
             x = np.stack([one.take(order) for one in found]) * np.float32(1 / SHARP)
-            bits, ends = steps.bit.take(order), np.cumsum(np.bincount(gate, minlength=GATES))
+            bits, times = seen.bit.take(order), seen.times.astype(np.float32).take(seen.byte.take(order))
+            ends = np.cumsum(np.bincount(gate, minlength=GATES))
             for g, (lo, hi) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
-                a = x[:, lo:hi]
+                a, n = x[:, lo:hi], times[lo:hi]
                 p = _sigmoid(self.weights[g] @ a)
-                out[g, :PREDICTORS] += a @ (bits[lo:hi] - p)
-                out[g, PREDICTORS:] += ((a * (p * (1 - p))) @ a.T).ravel()
+                out[g, :PREDICTORS] += a @ (n * (bits[lo:hi] - p))
+                out[g, PREDICTORS:] += ((a * (n * p * (1 - p))) @ a.T).ravel()
         return out
 
     def improve(self, evidence: np.ndarray) -> None:
@@ -302,77 +416,112 @@ class Mixer:
             self.weights = (self.weights + np.clip(step, -1, 1)).astype(np.float32)
 
     def byte_nats(self, docs: list[np.ndarray]) -> list[np.ndarray]:
-        """The cost in nats of every byte of every document. Documents of like
-        length share a piece, so that few blocks are coded alone."""
+        """The cost in nats of every byte of every document. The inputs are
+        looked up once for each distinct situation. Documents of like length
+        share a piece, so that few blocks are coded alone."""
         out: list[list[np.ndarray]] = [[] for _ in docs]
         order = sorted(range(len(docs)), key=lambda k: len(docs[k]))
         carried: tuple[int, np.ndarray] | None = None
-        for parts in Pieces([docs[k] for k in order]):
-            steps = Steps(parts, self.code, blocks=True)
-            x, gate = self.inputs(steps)
-            weights = np.repeat(self.weights[None], len(parts), axis=0)
-            if len(parts) == 1 and carried and carried[0] == parts[0][0]:
-                weights = carried[1]
-            ends = np.cumsum([len(d) for _, d, _ in parts])
-            cost = np.bincount(steps.byte, weights=self._code(x, gate, steps, weights), minlength=ends[-1])
-            for (k, d, lead), end in zip(parts, ends, strict=True):
-                out[order[k]].append(cost[end - len(d) + lead : end])
-            carried = (parts[0][0], weights) if len(parts) == 1 else None
+        for pieces in pools([docs[k] for k in order], *TOGETHER):
+            seen = Situations(pieces, self.code, which=True)
+            packed, done = self._packed(seen), 0
+            for parts in pieces:
+                weights = np.repeat(self.weights[None], len(parts), axis=0)
+                if len(parts) == 1 and carried and carried[0] == parts[0][0]:
+                    weights = carried[1]
+                ends = np.cumsum([len(d) - lead for _, d, lead in parts])
+                which = seen.which[done : done + ends[-1]]
+                done += ends[-1]
+                cost = self._code(packed, seen.begin.take(which), seen.count.take(which), ends, weights)
+                for (k, _, _), one in zip(parts, np.split(cost, ends[:-1]), strict=True):
+                    out[order[k]].append(one)
+                carried = (parts[0][0], weights) if len(parts) == 1 else None
         return [np.concatenate(x) for x in out]
 
     def log10_probability(self, docs: list[np.ndarray]) -> np.ndarray:
         return np.array([-x.sum() for x in self.byte_nats(docs)]) / np.log(10)
 
-    def _code(self, x, gate, steps: Steps, weights: np.ndarray) -> np.ndarray:
-        """Nats for each bit; the parts' weights follow their own blocks. All
-        parts take their next block together."""
-        left = steps.sizes
-        key = (steps.doc * GATES + gate).astype(np.intp)
-        sign = 2 * steps.bit.astype(np.float32) - 1
-        size = len(left) * GATES
-        flat = weights.reshape(size, PREDICTORS).T.copy()
-        nats = np.empty(len(gate), np.float32)
-        lo = done = 0
-        while lo < len(gate):
-            hi = lo + int(np.clip(left - done, 0, BLOCK).sum())
-            k, s = key[lo:hi], sign[lo:hi]
-            z = x[lo:hi, 0] * flat[0].take(k)
+    def _packed(self, steps: Steps) -> np.ndarray:
+        """For each step one number of eight bytes: the stored logits against
+        its bit, and the gate."""
+        found = [self.tables[k].take(steps.slots(k, self.bits)) for k in range(PREDICTORS)]
+        against = 1 - 2 * steps.bit.astype(np.int8)
+        out = np.zeros((len(against), 8), np.int8)
+        for k, one in enumerate(found):
+            np.multiply(one, against, out=out[:, k])
+        out[:, PREDICTORS] = _gate(found)
+        return out.view(np.int64).ravel()
+
+    def _code(self, packed: np.ndarray, first: np.ndarray, count: np.ndarray, ends: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Nats for each byte, whose steps are ``count`` in ``packed`` from
+        ``first`` on; the parts end at ``ends``, and their weights follow their
+        own blocks. All parts take their next block together."""
+        begin = np.cumsum(count) - count
+        place = np.arange(int(count.sum()), dtype=np.int32) + np.repeat((first - begin).astype(np.int32), count)
+        after = (begin + count)[ends - 1].tolist()
+        before = [0, *after[:-1]]
+        size = len(ends) * GATES
+        flat = weights.reshape(size, PREDICTORS).T / np.float32(SHARP)
+        nats = np.empty(len(place), np.float32)
+        for lo in range(0, max(b - a for a, b in zip(before, after, strict=True)), BLOCK):
+            own = [(k, slice(a + lo, min(b, a + lo + BLOCK))) for k, (a, b) in enumerate(zip(before, after, strict=True)) if a + lo < b]
+            long = [at.stop - at.start for _, at in own]
+            step = packed.take(np.concatenate([place[at] for _, at in own])).view(np.int8).reshape(-1, 8)
+            k = np.repeat(np.array([k for k, _ in own]) * GATES, long)
+            k += step[:, PREDICTORS]
+            x = step.T[:PREDICTORS].astype(np.float32, order="C")
+            z = x[0] * flat[0].take(k)
             for j in range(1, PREDICTORS):
-                z += x[lo:hi, j] * flat[j].take(k)
-            z *= -s
+                z += x[j] * flat[j].take(k)
             odds = np.exp(np.clip(z, -60, 60, out=z), out=z)  # against the bit
-            np.log1p(odds, out=nats[lo:hi])
-            done += BLOCK
-            if hi < len(gate):
-                error = s * (odds / (1 + odds))
-                rate = RATE / np.sqrt(np.bincount(k, minlength=size) + 1.0)
+            cost, done = np.log1p(odds), 0
+            for _, at in own:
+                nats[at] = cost[done : (done := done + at.stop - at.start)]
+            if any(b - a > lo + BLOCK for a, b in zip(before, after, strict=True)):
+                odds /= 1 + odds
+                rate = RATE / SHARP**2 / np.sqrt(np.bincount(k, minlength=size) + 1.0)
                 for j in range(PREDICTORS):
-                    flat[j] += rate * np.bincount(k, weights=error * x[lo:hi, j], minlength=size)
-            lo = hi
-        weights.reshape(size, PREDICTORS)[:] = flat.T
-        return nats
+                    flat[j] -= rate * np.bincount(k, weights=np.multiply(x[j], odds, out=x[j]), minlength=size)
+        weights.reshape(size, PREDICTORS)[:] = flat.T * np.float32(SHARP)
+        return np.add.reduceat(nats, begin).astype(float)
 
 
 def word_log10(nats: np.ndarray, words: list[bytes], counts: np.ndarray, total: int, ends: int) -> float:
-    """log10 of the text's probability. For every word with the byte after it
+    """log10 of one text's probability."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    return float(words_log10([nats], np.array([len(words)]), sizes, counts, total, ends)[0])
+
+
+def words_log10(nats: list[np.ndarray], n_words: np.ndarray, sizes: np.ndarray, counts: np.ndarray, total: int, ends: int) -> np.ndarray:
+    """log10 of the texts' probabilities; ``sizes`` and ``counts`` are those of
+    all their words. For every word with the byte after it
     (a space or the end), a last gate mixes the bit predictors' probability
     with that of the exact training counts. Its weight begins at WORD_WEIGHT
     and follows the words of the document that are already coded. All of it is
     in logarithms, so a long word costs what it costs."""
-    if not words or total <= ends or not ends:
-        return -float(nats.sum()) / np.log(10)
-    size = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    coded = -np.add.reduceat(nats.astype(float), np.concatenate(([0], np.cumsum(size)[:-1])))
+    out = np.array([-x.sum() for x in nats], float)
+    some = np.flatnonzero(n_words)
+    if not len(some) or total <= ends or not ends:
+        return out / np.log(10)
+    size = sizes + 1
+    coded = -np.add.reduceat(np.concatenate([nats[k] for k in some]).astype(float), np.cumsum(size) - size)
+    n = n_words[some]
+    first = np.cumsum(n) - n
     stop = ends / total
     exact = counts / (total - ends) * (1 - stop)
-    exact[-1] *= stop / (1 - stop)
+    exact[first + n - 1] *= stop / (1 - stop)
     with np.errstate(divide="ignore"):
         exact = np.log(exact)  # -inf: an unknown word
-    posterior = np.exp(-np.logaddexp(0, np.log(1 - WORD_WEIGHT) + coded - np.log(WORD_WEIGHT) - exact))
-    before = np.concatenate(([0], np.cumsum(posterior)[:-1]))
-    weight = (WORD_WEIGHT * WORD_TRUST + before) / (WORD_TRUST + np.arange(len(words)))
+    against = np.log(1 - WORD_WEIGHT) + coded - np.log(WORD_WEIGHT) - exact
+    posterior = np.exp(-(np.maximum(against, 0) + np.log1p(np.exp(-np.abs(against)))))
+    weight = np.full(len(coded), WORD_WEIGHT * WORD_TRUST)
+    for lo, k in zip(first.tolist(), n.tolist(), strict=True):
+        weight[lo + 1 : lo + k] += np.cumsum(posterior[lo : lo + k - 1])
+    weight /= WORD_TRUST + np.arange(len(coded)) - np.repeat(first, n)
     weight = np.clip(weight, 0.02, 0.98)
-    return float(np.logaddexp(np.log(weight) + exact, np.log1p(-weight) + coded).sum() / np.log(10))
+    a, b = np.log(weight) + exact, np.log1p(-weight) + coded
+    out[some] = np.add.reduceat(np.maximum(a, b) + np.log1p(np.exp(-np.abs(a - b))), first)
+    return out / np.log(10)
 
 
 def _gate(found: list[np.ndarray]) -> np.ndarray:
@@ -399,29 +548,51 @@ def _byte_counts(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def _pooled(batches):
+    """The coded texts of the batches, about POOL bytes at a time."""
+    docs, size = [], 0
+    for batch in batches:
+        for text in texts_of(batch):
+            docs.append(coded_bytes(words_of(text)))
+            size += len(docs[-1])
+            if size >= POOL:
+                yield docs
+                docs, size = [], 0
+    if docs:
+        yield docs
+
+
+def _squeezed(counts: np.ndarray) -> bytes:
+    return pa.Codec("zstd", 1).compress(np.ascontiguousarray(counts, "<u4"), asbytes=True)
+
+
+def _restored(blob: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(pa.Codec("zstd").decompress(blob, 4 * width), "<u4")
+
+
 def _merged_tables(rows: DataFrame, code: Code, bits: int) -> np.ndarray:
     """The predictors' tables of counts, merged slice by slice: PREDICTORS x
     2**bits, zeros in the lower and ones in the upper half of a number."""
+    width = (2 << bits) // SLICES
 
     def run(batches):
         from pyspark import TaskContext
 
         total, some = np.zeros((PREDICTORS, 2 << bits), np.uint32), False
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                count_tables([coded_bytes(words_of(t)) for t in batch.column(0).slice(k, 512).to_pylist()], code, bits, total)
-            some = some or batch.num_rows > 0
+        for docs in _pooled(batches):
+            count_tables(docs, code, bits, total)
+            some = True
         if some:
-            task, width = TaskContext.get().partitionId(), (2 << bits) // SLICES
+            task = TaskContext.get().partitionId()
             for k in range(PREDICTORS):
-                parts = [zlib.compress(total[k, s * width : (s + 1) * width].tobytes(), 1) for s in range(SLICES)]
+                parts = [_squeezed(total[k, s * width : (s + 1) * width]) for s in range(SLICES)]
                 yield pa.RecordBatch.from_arrays([pa.array([k * SLICES + s for s in range(SLICES)], pa.int32()), pa.array([task] * SLICES, pa.int32()), pa.array(parts, pa.binary())], names=["slice", "task", "blob"])
 
     def merge(key, table):
         total = 0
         for blob in table.column("blob"):
-            total = total + np.frombuffer(zlib.decompress(blob.as_py()), np.uint32).astype(np.uint64)
-        out = zlib.compress(np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes(), 1)
+            total = total + _restored(blob.as_py(), width).astype(np.uint64)
+        out = _squeezed(np.minimum(total, (1 << 32) - 1).astype(np.uint32))
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "task": pa.array([key[1].as_py()], pa.int32()), "blob": pa.array([out], pa.binary())})
 
     schema = "slice int, task int, blob binary"
@@ -430,9 +601,9 @@ def _merged_tables(rows: DataFrame, code: Code, bits: int) -> np.ndarray:
     while tasks > 1:
         tasks = -(-tasks // 32)
         level = level.withColumn("task", F.pmod("task", F.lit(tasks))).groupBy("slice", "task").applyInArrow(merge, schema)
-    counts = np.zeros((PREDICTORS, SLICES, (2 << bits) // SLICES), "<u4")
+    counts = np.zeros((PREDICTORS, SLICES, width), "<u4")
     for r in level.toLocalIterator():
-        counts[r["slice"] // SLICES, r["slice"] % SLICES] = np.frombuffer(zlib.decompress(r["blob"]), "<u4")
+        counts[r["slice"] // SLICES, r["slice"] % SLICES] = _restored(r["blob"], width)
     return counts.reshape(PREDICTORS, 2 << bits).view("<u8")
 
 
@@ -443,9 +614,8 @@ def _evidence(rows: DataFrame, mixer: Mixer, known: np.ndarray) -> np.ndarray:
     def run(batches):
         bits, code, weights, known = shared.value
         mixer, total = Mixer(None, bits, code, weights), np.zeros((GATES, PREDICTORS + PREDICTORS**2))
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                total += mixer.evidence([coded_bytes(words_of(t)) for t in batch.column(0).slice(k, 512).to_pylist()], known)
+        for docs in _pooled(batches):
+            total += mixer.evidence(docs, known)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["place", "x"])
 
     sums = rows.select("text").mapInArrow(lambda batches: trimmed(run(batches)), "place long, x double").groupBy("place").agg(F.sum("x").alias("x")).collect()
@@ -522,6 +692,35 @@ def _word_counts(table) -> tuple[Counter, Counter]:
     return every, learned
 
 
+def _numbered(words) -> tuple[dict[bytes, int], np.ndarray]:
+    """Numbers of the distinct words, and the number of each word."""
+    numbers: dict[bytes, int] = defaultdict(count().__next__)
+    return numbers, np.fromiter(map(numbers.__getitem__, words), np.int64)
+
+
+class Words:
+    """A chunk's texts as numbers of their words; each text's last is the end."""
+
+    def __init__(self, table):
+        self.ids = table.column("doc_id").to_pylist()
+        self.training = np.array(_training(self.ids), bool)
+        split = [words_of(t) for t in table.column("text").to_pylist()]
+        self.coded = [coded_bytes(w) for w in split]
+        for w in split:
+            w.append(b"")
+        self.sizes = np.fromiter(map(len, split), np.int64, len(split))
+        self.numbers, self.number = _numbered(chain.from_iterable(split))
+
+    def by_bucket(self, buckets: int):
+        """bucket, its distinct words in order and their numbers."""
+        by: dict[int, list[bytes]] = {}
+        for w in self.numbers:
+            by.setdefault(zlib.crc32(w) % buckets, []).append(w)
+        for b, words in sorted(by.items()):
+            words.sort()
+            yield b, words, np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+
+
 def _opened(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
     data = zlib.decompress(blob)
     n = int.from_bytes(data[:4], "little")
@@ -531,14 +730,21 @@ def _opened(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
 def _answer(key, table):
     """Total training counts of the asked words, and, as chunk -1, how many
     training tokens, distinct ones and ends the bucket holds."""
-    chunks, blobs = table.column("chunk").to_pylist(), table.column("blob").to_pylist()
-    total: dict[bytes, int] = {}
-    get = total.get
-    for blob in blobs:
-        for n, w in zip(*(x if isinstance(x, list) else x.tolist() for x in _opened(blob)), strict=True):
-            total[w] = get(w, 0) + n
-    out = [zlib.compress(np.array([total[w] for w in _opened(b)[1]], "<u8").tobytes(), 1) for b in blobs]
-    out.append(np.array([sum(total.values()), sum(1 for v in total.values() if v), total.get(b"", 0)], "<i8").tobytes())
+    chunks, counts, sizes = table.column("chunk").to_pylist(), [], []
+
+    def asked_words():
+        for blob in table.column("blob"):
+            n, words = _opened(blob.as_py())
+            counts.append(n)
+            sizes.append(len(n))
+            yield from words
+
+    numbers, number = _numbered(asked_words())
+    total = np.zeros(len(numbers), np.int64)
+    np.add.at(total, number, np.concatenate(counts).astype(np.int64))
+    out = [zlib.compress(total.take(at).astype("<u8").tobytes(), 1) for at in np.split(number, np.cumsum(sizes)[:-1])]
+    ends = int(total[numbers[b""]]) if b"" in numbers else 0
+    out.append(np.array([total.sum(), np.count_nonzero(total), ends], "<i8").tobytes())
     return pa.table({"chunk": pa.array([*chunks, -1], pa.int32()), "bucket": pa.array([key[0].as_py()] * len(out), pa.int32()), "blob": pa.array(out, pa.binary())})
 
 
@@ -568,28 +774,24 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mix_d
 
     def score(key, table, replies):
         mixer = Mixer(*shared.value)
-        words_in, _ = _word_counts(table)
-        by: dict[int, list[bytes]] = {}
-        for w in words_in:
-            by.setdefault(zlib.crc32(w) % buckets, []).append(w)
-        known: dict[bytes, int] = {}
-        for b, blob in zip(replies.column("bucket").to_pylist(), replies.column("blob").to_pylist(), strict=True):
-            known.update(zip(sorted(by[b]), np.frombuffer(zlib.decompress(blob), "<u8").tolist(), strict=True))
-        ids, n_tokens, n_known, logs, coded, split, counts = table.column("doc_id").to_pylist(), [], [], [], [], [], []
-        for text in table.column("text").to_pylist():
-            words = words_of(text)
-            coded.append(coded_bytes(words))
-            split.append(words)
-            words = [*words, b""]
-            c = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            n_tokens.append(len(c))
-            n_known.append(int((c > 0).sum()))
-            logs.append(float(np.log10(c + 1.0).sum()))
-            counts.append(c[:-1].astype(float))
+        words = Words(table)
+        known = np.zeros(len(words.numbers), np.int64)
+        length = np.zeros(len(known), np.int64)
+        blobs = dict(zip(replies.column("bucket").to_pylist(), replies.column("blob"), strict=True))
+        for b, distinct, at in words.by_bucket(buckets):
+            known[at] = np.frombuffer(zlib.decompress(blobs[b].as_py()), "<u8")
+            length[at] = np.fromiter(map(len, distinct), np.int64, len(distinct))
+        ids, sizes, number = words.ids, words.sizes, words.number
+        doc = np.repeat(np.arange(len(ids)), sizes)
+        n_known = np.bincount(doc, weights=(known > 0).take(number), minlength=len(ids)).astype(np.int64)
+        logs = np.bincount(doc, weights=np.log10(known + 1.0).take(number), minlength=len(ids))
+        plain = np.ones(len(number), bool)
+        plain[np.cumsum(sizes) - 1] = False  # the ends
+        number = number[plain]
         total, ends = _sums(replies)
-        made = [word_log10(x, w, c, total, ends) for x, w, c in zip(mixer.byte_nats(coded), split, counts, strict=True)]
+        made = words_log10(mixer.byte_nats(words.coded), sizes - 1, length.take(number), known.take(number).astype(float), total, ends)
         kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-        columns = (ids, [not x for x in _training(ids)], n_tokens, n_known, logs, made, [len(d) for d in coded])
+        columns = (ids, ~words.training, sizes, n_known, logs, made, [len(d) for d in words.coded])
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "n_bytes"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, n_bytes long"

@@ -358,6 +358,65 @@ def test_lm_documents_together_cost_what_they_cost_alone():
         assert np.allclose(got, mixer.byte_nats([doc])[0], rtol=1e-3, atol=1e-4)
 
 
+def test_lm_looks_up_equal_situations_once(monkeypatch):
+    """Copies of a text cost no further look-ups in counting, evidence and
+    scoring; the results are those of looking up every bit."""
+    from gridloom.llm import lm_scoring as L
+
+    rng = random.Random(13)
+    docs = [L.coded_bytes(L.words_of(text(rng, 200))) for _ in range(3)]
+    many = docs * 40
+    code, bits = L.Code(np.bincount(np.concatenate(docs), minlength=256)), 16
+    want = np.zeros((L.PREDICTORS, 2 << bits), np.uint32)
+    for parts in L.Pieces(many):
+        steps = L.Steps(parts, code)
+        for k in range(L.PREDICTORS):
+            np.add.at(want[k], steps.slots(k, bits) * 2 + steps.bit, np.uint32(1))
+    looked = []
+    one = L.slots
+    monkeypatch.setattr(L, "slots", lambda context, *a: (looked.append(len(context)), one(context, *a))[1])
+
+    def lookups(run):
+        looked.clear()
+        return run(), sum(looked)
+
+    counts = np.zeros_like(want)
+    _, few = lookups(lambda: L.count_tables(docs, code, bits, np.zeros_like(want)))
+    _, all_of = lookups(lambda: L.count_tables(many, code, bits, counts))
+    assert np.array_equal(counts, want) and all_of == few
+    tables, known = L.stored(counts)
+    mixer = L.Mixer(tables, bits, code)
+    single, few = lookups(lambda: mixer.evidence(docs, known))
+    evidence, all_of = lookups(lambda: mixer.evidence(many, known))
+    assert all_of == few and np.allclose(evidence, 40 * single, rtol=1e-3, atol=0.01)
+    alone, few = lookups(lambda: mixer.byte_nats(docs))
+    nats, all_of = lookups(lambda: mixer.byte_nats(many))
+    assert all_of == few and all(np.array_equal(a, b) for a, b in zip(nats, alone * 40, strict=True))
+
+
+@pytest.mark.parametrize("good", [True, False])
+def test_lm_situations_are_compared_as_they_are(monkeypatch, good):
+    """Every byte's situation is its own, whatever the hash that sorts them."""
+    from gridloom.llm import lm_scoring as L
+
+    rng = np.random.default_rng(14)
+    docs = [np.append(rng.integers(97, 100, int(n)), L.END).astype(np.uint8) for n in rng.integers(0, 400, 50)]
+    docs += [L.coded_bytes([b"ab", b"b" * 900, b"a"]), docs[3]]
+    code = L.Code(np.bincount(np.concatenate(docs), minlength=256))
+    monkeypatch.setattr(L, "PIECE", 700)
+    if not good:
+        monkeypatch.setattr(L, "_hashed", lambda near, far: np.zeros(len(near), np.uint64))
+    for pieces in L.pools(docs, 7) if good else [[p] for p in L.Pieces(docs)]:
+        parts = [p for parts in pieces for p in parts]
+        plain, seen = L.Steps(parts, code), L.Situations(pieces, code, which=True)
+        assert len(seen.which) == len(plain.count) >= len(seen.times) and (not good or len(plain.count) > len(seen.times))
+        assert np.array_equal(np.bincount(seen.which), seen.times)
+        at = np.arange(len(plain.bit)) + np.repeat(seen.begin[seen.which] - plain.begin, plain.count)
+        assert np.array_equal(seen.bit[at], plain.bit) and np.array_equal(seen.node[at], plain.node)
+        for k in range(L.PREDICTORS):
+            assert np.array_equal(seen.slots(k, 22)[at], plain.slots(k, 22))
+
+
 # --- 5: URL filters
 
 
